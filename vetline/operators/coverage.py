@@ -68,11 +68,9 @@ def batch_status_counts(responses: DataFrame) -> DataFrame:
     )
 
 
-def _count_map(failures: DataFrame, column: str, alias: str) -> DataFrame:
+def _count_map(failures: DataFrame, column: str) -> DataFrame:
     counts = failure_counts(failures, column)
-    return counts.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n")))).alias(alias)
-    )
+    return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n")))))
 
 
 def coverage_report(
@@ -90,7 +88,7 @@ def coverage_report(
 ) -> DataFrame:
     """The one-row report: counts, percentage, severity, sample of missing ids, failure maps.
 
-    Every side is an aggregate of one row, so the final cross products join single rows.
+    The sample and the two maps are one-row aggregates, put beside the counts as scalar subqueries.
     Ids loaded without being expected still count as loaded, so the percentage may pass 100.
     """
 
@@ -105,17 +103,21 @@ def coverage_report(
         F.count_if(missing).alias("missing_count"),
     )
     sample = sample_missing_ids(flags.filter(missing).select(F.col("id").alias("vacancy_id"))).agg(
-        F.array_sort(F.collect_list("vacancy_id")).alias("sample_missing_ids")
+        F.array_sort(F.collect_list("vacancy_id"))
     )
     pct = F.when(F.col("expected_count") == 0, F.lit(0.0)).otherwise(
         F.col("loaded_count") / F.col("expected_count") * 100
     )
     empty_reason = "EMPTY_MANIFEST" if manifest_present else "NO_MANIFEST"
     return (
-        counts.crossJoin(sample)
-        .crossJoin(_count_map(failures, "reason", "failures_by_reason"))
-        .crossJoin(_count_map(failures, "http_status", "failures_by_status"))
-        .withColumn("coverage_pct", pct)
+        counts.withColumns(
+            {
+                "coverage_pct": pct,
+                "sample_missing_ids": sample.scalar(),
+                "failures_by_reason": _count_map(failures, "reason").scalar(),
+                "failures_by_status": _count_map(failures, "http_status").scalar(),
+            }
+        )
         .select(
             constant(ds).alias("ds"),
             constant(load_type).alias("load_type"),

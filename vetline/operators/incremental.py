@@ -34,12 +34,11 @@ def rows_since_max(
 def rows_since_max_lazy(
     source: DataFrame, target: DataFrame, date_column: str = "load_dt", on_empty: str = "nothing"
 ) -> DataFrame:
-    """The same without an action: the maximum stays a one-row side of the plan."""
+    """The same without an action: the maximum is a scalar subquery of the filter."""
     newest = F.max(date_column)
     if on_empty == "all":
         newest = F.coalesce(newest, F.lit("1900-01-01").cast("date"))
-    mark = target.agg(newest.alias("_newest"))
-    return source.join(F.broadcast(mark), F.col(date_column) > F.col("_newest"), "left_semi")
+    return source.filter(F.col(date_column) > target.agg(newest).scalar())
 
 
 def files_since(listing: DataFrame, last_check: str | dt.date) -> DataFrame:

@@ -1,0 +1,118 @@
+"""The composed jobs: collected files to risk signals, and sanctions files to screening results."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vetline.operators.merge import Rule
+from vetline.plans import risk, sanctions, screening, vacancies
+from vetline.sources.jsonl import read_jsonl_quarantine
+from vetline.sources.sinks import replace_table
+from vetline.sources.store import KeyedStore
+from vetline.sources.xml import read_entities, read_individuals
+
+BRONZE_LIST = """
+    id bigint, name string, area string, salary string, employer string, schedule string, employment string,
+    experience string, published_at string, created_at string, archived boolean, search_profile string,
+    expected_risk_category string
+"""
+BRONZE_DETAILS = """
+    id bigint, name string, archived boolean, employer string, description string, branded_description string,
+    key_skills string, published_at string, created_at string, search_profile string, expected_risk_category string
+"""
+STORES = {
+    "vacancies": (
+        "vacancy_id bigint, title string, published_at string, area_id int, area_name string, employer_id bigint, "
+        "salary_from decimal(18,2), salary_to decimal(18,2), salary_currency string, schedule string, "
+        "employment string, experience string, archived boolean, active_from date, active_to date, load_dt date, "
+        "search_profile string, expected_risk_category string",
+        ["vacancy_id"],
+    ),
+    "employers": (
+        "employer_id bigint, name string, url string, trusted boolean, accredited_it_employer boolean, "
+        "country_id int, first_seen_dt date, last_seen_dt date",
+        ["employer_id"],
+    ),
+    "vacancy_skills": ("vacancy_id bigint, skill_name string, load_dt date", ["vacancy_id", "skill_name"]),
+    "vacancy_text": ("vacancy_id bigint, description_text string, load_dt date", ["vacancy_id"]),
+}
+
+
+def silver_stores(spark: SparkSession, warehouse: str, buckets: int = 256) -> dict[str, KeyedStore]:
+    return {
+        name: KeyedStore(spark, f"{warehouse}/silver/{name}", schema, keys, buckets)
+        for name, (schema, keys) in STORES.items()
+    }
+
+
+def _newest(*ties: str) -> list[Column]:
+    return [F.col("load_dt").desc_nulls_last(), *[F.col(name).asc_nulls_last() for name in ties]]
+
+
+def load_day(
+    spark: SparkSession, landing: str, warehouse: str, ds: str, load_type: str = "daily", buckets: int = 256
+) -> None:
+    """One business date: landed JSON lines to the four silver tables; bad lines go to quarantine.
+
+    The date and load type are in the folder names, so only that date's files are read.
+    """
+    stores = silver_stores(spark, warehouse, buckets)
+    day = F.lit(ds).cast("date")
+
+    def landed(entity: str, schema: str) -> DataFrame:
+        good, bad = read_jsonl_quarantine(spark, f"{landing}/{entity}/load_type={load_type}/dt={ds}", schema)
+        bad.write.mode("overwrite").json(f"{warehouse}/quarantine/{entity}/load_type={load_type}/dt={ds}")
+        return good.withColumns({"load_dt": day, "load_type": F.lit(load_type)})
+
+    bronze = vacancies.with_validity(landed("vacancies_list", BRONZE_LIST))
+    stores["vacancies"].upsert(
+        vacancies.flatten_vacancies(bronze), _newest("published_at", "title"), {"active_from": Rule.KEEP_FIRST}
+    )
+    stores["employers"].upsert(
+        vacancies.employers_batch(bronze),
+        vacancies.latest_employer_order(),
+        {"first_seen_dt": Rule.LEAST, "last_seen_dt": Rule.GREATEST},
+    )
+    details = landed("vacancy_details", BRONZE_DETAILS)
+    stores["vacancy_text"].upsert(vacancies.silver_text(details), _newest("description_text"))
+    stores["vacancy_skills"].insert_ignore(vacancies.silver_skills(details), [F.col("load_dt")])
+
+
+def refresh_risk_signals(spark: SparkSession, warehouse: str, sanctioned: DataFrame | None = None) -> DataFrame:
+    """Recompute the gold table and give it back as stored."""
+    stores = silver_stores(spark, warehouse)
+    path = f"{warehouse}/gold/vacancy_risk_signals"
+    replace_table(
+        risk.risk_signals(
+            stores["vacancies"].read(), stores["vacancy_text"].read(), stores["employers"].read(), sanctioned
+        ),
+        path,
+    )
+    return spark.read.parquet(path)
+
+
+def load_sanctions(spark: SparkSession, xml_path: str, warehouse: str) -> DataFrame:
+    """Truncate and reload the four tables of the list, then the screening names."""
+    tables = sanctions.flatten_sanctions(read_individuals(spark, xml_path), read_entities(spark, xml_path))
+    for name, df in tables.items():
+        replace_table(sanctions.passthrough(name, df), f"{warehouse}/silver/sanctions_{name}")
+    stored = {name: spark.read.parquet(f"{warehouse}/silver/sanctions_{name}") for name in ("entities", "aliases")}
+    path = f"{warehouse}/silver/sanctions_names"
+    replace_table(sanctions.screening_names(stored["entities"], stored["aliases"]), path)
+    return spark.read.parquet(path)
+
+
+def screen(inputs: DataFrame, names: DataFrame, warehouse: str) -> dict[str, DataFrame]:
+    """The three screening marts, stored; the demo mart is read off the stored fuzzy one."""
+    spark = inputs.sparkSession
+    marts = {
+        "sanctions_exact_matches_best": screening.screen_exact_best(inputs, names),
+        "sanctions_fuzzy_matches": screening.screen_fuzzy_top(inputs, names),
+        "sanctions_fuzzy_matches_best": screening.screen_fuzzy_best(inputs, names),
+    }
+    for name, df in marts.items():
+        replace_table(df, f"{warehouse}/gold/{name}")
+    stored = {name: spark.read.parquet(f"{warehouse}/gold/{name}") for name in marts}
+    stored["sanctions_screening_results_demo"] = screening.demo_results(stored["sanctions_fuzzy_matches_best"])
+    return stored
