@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vetline.functions.names import packed_trigrams, trigrams
+from vetline.functions.names import packed_trigrams
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
 ENTRY_BYTES = 64  # one index row in a broadcast hash table
@@ -112,12 +112,13 @@ def similar_values(
         .filter(F.col("met") + _outside_signature(n2, threshold) >= needed - SLACK)
         .select("left_hash", "right_hash")
     )
-    # each distinct value is cut into trigrams once, not once per candidate
+    # for the score, a listed value is cut into trigrams once more, and so is a probe with a candidate
+    with_candidate = probes.join(candidates.select("left_hash").distinct(), "left_hash", "left_semi")
     common = F.size(F.array_intersect("left_grams", "right_grams"))
     score = F.col("common") / (F.size("left_grams") + F.size("right_grams") - F.col("common"))
     return (
         candidates.join(listed.withColumn("right_grams", packed_trigrams("right_value")), "right_hash")
-        .join(probes.withColumn("left_grams", packed_trigrams("left_value")), "left_hash")
+        .join(with_candidate.withColumn("left_grams", packed_trigrams("left_value")), "left_hash")
         .select("left_value", "right_value", "left_grams", "right_grams", _once(common).alias("common"))
         .select("left_value", "right_value", score.alias("score"))
         .filter(F.col("score") > threshold)
@@ -143,9 +144,8 @@ def similarity_join(
     """
     pairs = similar_values(left, right, left_on, right_on, threshold, broadcast_limit)
     if include_equal:
-        empty = _distinct_values(left, left_on, "left").filter(F.size(trigrams("left_value")) == 0)
-        same = _distinct_values(right, right_on, "right").withColumn("left_value", F.col("right_value"))
-        equal = empty.join(same, "left_value").select("left_value", "right_value", F.lit(0.0).alias("score"))
+        blank = _distinct_values(right, right_on, "right").filter(~F.col("right_value").rlike(r"[\p{L}\p{N}]"))
+        equal = blank.select(F.col("right_value").alias("left_value"), "right_value", F.lit(0.0).alias("score"))
         pairs = pairs.unionByName(equal)
     pairs = pairs.withColumnRenamed("score", score)
     return (
