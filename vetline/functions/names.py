@@ -37,13 +37,12 @@ def normalize_name_ascii(name: str | Column) -> Column:
 def trigrams(text: str | Column) -> Column:
     """Distinct trigrams of every word, each word padded with two blanks before and one after.
 
-    One lookahead match finds the overlapping trigrams; words are kept apart by a line break,
-    which ``.`` does not match, so no trigram spans two words.
+    One lookahead match finds the overlapping trigrams. Words are kept apart by a line break,
+    which ``.`` does not match, so no trigram spans two words; three blanks are no trigram.
     """
-    words = F.trim(F.regexp_replace(F.lower(_col(text)), r"[^\p{L}\p{N}]+", " "))
-    lines = F.concat(F.lit("  "), F.replace(words, F.lit(" "), F.lit(" \n  ")), F.lit(" "))
-    found = F.array_distinct(F.regexp_extract_all(lines, F.lit("(?=(.{3}))"), F.lit(1)))
-    return F.when(words == "", F.array().cast("array<string>")).when(words.isNotNull(), found)
+    words = F.regexp_replace(F.lower(_col(text)), r"[^\p{L}\p{N}]+", " \n  ")
+    padded = F.concat(F.lit("  "), words, F.lit(" "))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit("(?=(?!   )(.{3}))"), F.lit(1)))
 
 
 def packed_trigrams(text: str | Column) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetline.functions.names import packed_trigrams
+from vetline.session import materialize
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
 ENTRY_BYTES = 64  # one index row in a broadcast hash table
@@ -92,11 +93,12 @@ def similar_values(
 
     An index of proven small size is broadcast: the probes are then matched and counted where
     they lie. A larger one is joined by shuffling both sides on the trigram, where the adaptive
-    skew join splits a frequent trigram.
+    skew join splits a frequent trigram. The listed values and the candidate pairs (two hashes each)
+    are stored in between, so building this plan runs jobs.
     """
     probes = _distinct_values(left, left_value, "left")
-    listed = _distinct_values(right, right_value, "right")
-    index_bytes, longest = index_bounds(right, right_value, threshold)
+    listed = materialize(_distinct_values(right, right_value, "right"), "listed")
+    index_bytes, longest = index_bounds(listed, "right_value", threshold)
     index = signature_index(listed, threshold)
     index = F.broadcast(index) if index_bytes <= broadcast_limit else index.hint("merge")
 
@@ -112,6 +114,7 @@ def similar_values(
         .filter(F.col("met") + _outside_signature(n2, threshold) >= needed - SLACK)
         .select("left_hash", "right_hash")
     )
+    candidates = materialize(candidates, "candidates")
     # for the score, a listed value is cut into trigrams once more, and so is a probe with a candidate
     with_candidate = probes.join(candidates.select("left_hash").distinct(), "left_hash", "left_semi")
     common = F.size(F.array_intersect("left_grams", "right_grams"))

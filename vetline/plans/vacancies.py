@@ -103,15 +103,25 @@ def latest_employer_order() -> list:
 
 
 def employers_batch(bronze: DataFrame) -> DataFrame:
-    """One row per employer: the newest attributes, the earliest and the latest date."""
+    """One row per employer: the newest attributes, the earliest and the latest date.
+
+    One pass over the records and two aggregates that both combine before their shuffle, so an
+    employer with a large share of the vacancies is a handful of rows by then.
+    """
     seen = employers_seen(bronze)
-    span = seen.groupBy("employer_id").agg(F.min("first_seen_dt").alias("_first"))
-    newest = latest_per_key(seen, ["employer_id"], latest_employer_order())
+    # oldest-last, then the attributes with NULLs at the end; the smallest rank wins
+    rank = [-F.unix_date("last_seen_dt")]
+    for name in EMPLOYER_ORDER:
+        rank += [F.col(name).isNull(), F.col(name)]
+    newest = F.min_by(F.struct(*EMPLOYER_ORDER), F.struct(*rank))
     return (
-        newest.join(span, "employer_id")
-        .withColumn("first_seen_dt", F.col("_first"))
-        .drop("_first")
-        .select(*seen.columns)
+        seen.groupBy("employer_id")
+        .agg(
+            newest.alias("_newest"),
+            F.min("first_seen_dt").alias("first_seen_dt"),
+            F.max("last_seen_dt").alias("last_seen_dt"),
+        )
+        .select("employer_id", "_newest.*", "first_seen_dt", "last_seen_dt")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the work a hand-written plan would otherwise guess at: it coalesces
 # small shuffle partitions, splits skewed ones and turns joins into broadcasts once the real
@@ -48,3 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(spark))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    For rows that several branches of one plan use: they are computed once, the lineage ends there
+    (a lost executor costs no recomputation), and the planner knows their real size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
