@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from vetline.plans import pipeline, risk, sanctions, screening
+from vetline.plans import jobs, risk, sanctions, screening
 from vetline.plans import vacancies as vac
 from vetline.plans.manifest import build_manifest, file_order
 from vetline.plans.profiles import DEFAULT_PROFILES, Profile, profiles_from_rows, tag_profiles
@@ -170,7 +170,7 @@ def test_sanctions_xml(spark, tmp_path):
     assert rows(tables["aliases"], "entity_id", "alias_name") == [("1", "Annie"), ("9", "O-C")]
     assert rows(tables["nationalities"], "entity_id", "nationality") == [("1", "X")]
     assert rows(tables["documents"], "entity_id", "doc_type", "doc_number") == [("1", None, "7")]
-    stored = pipeline.load_sanctions(spark, str(path), str(tmp_path / "wh"))
+    stored = jobs.load_sanctions(spark, str(path), str(tmp_path / "wh"))
     assert rows(stored, "name_value", "normalized_name") == [
         ("Ann Lee", "ann lee"), ("Annie", "annie"), ("O-C", "o c"), ("Org & Co", "org co"),
     ]
@@ -238,7 +238,7 @@ def test_store_rewrites_touched_buckets_only(spark):
     assert rows(store.read().filter("k in (7, 99)")) == [(7, "c"), (99, "z")]
 
 
-def test_pipeline_from_files_to_signals(spark, tmp_path):
+def test_jobs_from_files_to_signals(spark, tmp_path):
     landing, warehouse = tmp_path / "land", str(tmp_path / "wh")
 
     def land(entity, ds, records):
@@ -259,12 +259,12 @@ def test_pipeline_from_files_to_signals(spark, tmp_path):
         land("vacancies_list", ds, [item(1, name, archived, archived), {"id": 2, "name": "no employer"}])
         land("vacancy_details", ds, [{"id": 1, "description": "<p>" + "x" * 400 + "</p>", "key_skills": skills}])
         for _ in range(2):  # a rerun changes nothing
-            pipeline.load_day(spark, str(landing), warehouse, ds, buckets=2)
-    got = pipeline.refresh_risk_signals(spark, warehouse).collect()
+            jobs.load_day(spark, str(landing), warehouse, ds, buckets=2)
+    got = jobs.refresh_risk_signals(spark, warehouse).collect()
     assert [(r.vacancy_id, r.title, r.is_active, r.employer_name, r.risk_level) for r in got] == [
         (1, "new", False, "Acme", "WARNING")
     ]
-    stores = pipeline.silver_stores(spark, warehouse)
+    stores = jobs.silver_stores(spark, warehouse)
     assert rows(stores["employers"].read(), "trusted", "first_seen_dt", "last_seen_dt") == [
         (True, D(2026, 1, 4), D(2026, 1, 5))
     ]

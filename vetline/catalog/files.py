@@ -141,10 +141,10 @@ def sink_parquet_daily(t: Data) -> DataFrame:
 
 @query("register_raw_payload")
 def register_raw_payload(t: Data) -> DataFrame:
-    """The documents as files per source, registered twice: the second time adds nothing."""
+    """The documents as files of bounded size, registered twice: the second time adds nothing."""
     path = scratch_path(t.spark, "raw")
-    rows = t["documents"].select("source", F.to_json(F.struct("doc_id", "text")).alias("value"))
-    rows.repartition("source").write.partitionBy("source").text(path)
+    rows = t["documents"].select(F.to_json(F.struct("doc_id", "text")).alias("value"))
+    rows.write.option("maxRecordsPerFile", 200).text(path)
     raw = payloads.raw_payloads(t.spark, path, "documents")
     first = payloads.register_payloads(raw.limit(0), raw)
     again = payloads.register_payloads(first, raw)

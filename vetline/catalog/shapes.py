@@ -97,27 +97,15 @@ SHAPES: dict[str, str | dict[str, str]] = {
         JOIN {{nation}} n ON c.c_nationkey = n.n_nationkey
         LEFT JOIN {{order_skills}} k ON k.id = o.o_orderkey
     """,
-    "skill_items": """
-        SELECT l.l_orderkey AS id, l.l_linenumber AS pos, p.p_partkey AS part_id,
-               CASE WHEN p.p_size = 1 THEN ' ' WHEN p.p_size = 2 THEN NULL
-                    WHEN p.p_size = 3 THEN ' ' || p.p_name ELSE p.p_name END AS skill_name
-        FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
-    """,
-    # JSON array of the parts of an order; NULL for an order without lines
-    "order_skills": {
-        "spark": """
-            SELECT id, to_json(transform(array_sort(collect_list(struct(pos, part_id, skill_name))),
-                                         x -> struct(x.skill_name AS name)),
-                               map('ignoreNullFields', 'false')) AS key_skills
-            FROM {skill_items} GROUP BY id
-        """,
-        "duckdb": """
-            SELECT id, '[' || string_agg('{{"name":' || CASE WHEN skill_name IS NULL THEN 'null'
-                                                        ELSE '"' || skill_name || '"' END || '}}', ','
-                                         ORDER BY pos, part_id) || ']' AS key_skills
-            FROM {skill_items} GROUP BY id
-        """,
-    },
+    # JSON array with a repeated, a padded, a blank and a null name; empty or NULL for some orders
+    "order_skills": """
+        SELECT o.o_orderkey AS id,
+               CASE o.o_orderpriority WHEN '5-LOW' THEN '[]' WHEN '1-URGENT' THEN NULL
+                 ELSE '[{{"name":"' || c.c_mktsegment || '"}},{{"name":" "}},{{"name":null}},{{"name":"'
+                   || o.o_orderpriority || '"}},{{"name":" ' || c.c_mktsegment || ' "}},{{"name":"'
+                   || o.o_orderpriority || '"}},{{"name":"' || c.c_name || '"}}]' END AS key_skills
+        FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
+    """,
     # raw HTML beside plain text, both whole
     "raw_text": """
         SELECT 'page-' || cast(page_id AS string) AS vacancy_id, html || '&nbsp;' || url AS description_raw,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -30,13 +31,14 @@ def build_session(app_name: str = "vetline", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="vetline-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, or a temporary one where the session names none (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="vetline-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_root()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,7 +13,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.operators.merge import Rule, insert_ignore, merge_rows
+from vetline.operators.dedup import latest_per_key
+from vetline.operators.merge import Rule, merge_rows, new_rows_only
+from vetline.session import materialize
 
 BUCKET = "key_bucket"
 
@@ -37,7 +39,8 @@ class KeyedStore:
         return self._stored().drop(BUCKET)
 
     def _rewrite(self, updates: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        updates = self._bucketed(updates)
+        # computed once: the bucket list and every branch of the merge read the stored rows
+        updates = materialize(self._bucketed(updates), "updates")
         # at most `buckets` numbers; as literals they prune the folders to read
         touched = [row[0] for row in updates.select(BUCKET).distinct().collect()]
         if not touched:
@@ -58,7 +61,9 @@ class KeyedStore:
         latest_by: Sequence[Column],
         rules: Mapping[str, Rule | Column] | None = None,
     ) -> None:
-        self._rewrite(updates, lambda old, new: merge_rows(old, new, self.keys, rules, latest_by))
+        latest = latest_per_key(updates, self.keys, latest_by)
+        self._rewrite(latest, lambda old, new: merge_rows(old, new, self.keys, rules))
 
     def insert_ignore(self, updates: DataFrame, first_by: Sequence[Column]) -> None:
-        self._rewrite(updates, lambda old, new: insert_ignore(old, new, self.keys, first_by))
+        first = latest_per_key(updates, self.keys, first_by)
+        self._rewrite(first, lambda old, new: old.unionByName(new_rows_only(old, new, self.keys).select(*old.columns)))
