@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -259,6 +261,33 @@ for _table in FLAT:
     _register_sanctions(_table)
 
 
+SUMMARY = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n, count(DISTINCT entity_id) AS entities FROM ({sql})"
+    for name, sql in FLAT.items()
+)
+
+
+def _summary(tables: dict[str, DataFrame]) -> DataFrame:
+    counts = [
+        df.agg(F.count("*").alias("n"), F.countDistinct("entity_id").alias("entities")).select(
+            F.lit(name).alias("table_name"), "n", "entities"
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("sanctions_flatten", SUMMARY)
+def sanctions_flatten(t: Data) -> DataFrame:
+    """All four tables of one parse, counted."""
+    return _summary(_sanctions(t))
+
+
+@query("sanctions_passthrough", SUMMARY)
+def sanctions_passthrough(t: Data) -> DataFrame:
+    return _summary({name: sanctions.passthrough(name, df) for name, df in _sanctions(t).items()})
+
+
 @query(
     "scan_xml_individuals",
     """SELECT entity_id AS DATAID, '1' AS VERSIONNUM, trim(first_name) AS FIRST_NAME, second_name AS SECOND_NAME,
