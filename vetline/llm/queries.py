@@ -30,3 +30,10 @@ def op9_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     from vetline.llm import bpe
 
     return bpe.encode(table(spark, folder, "documents"), vocabulary())
+
+
+@query
+def op10_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    from vetline.llm import minhash
+
+    return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
