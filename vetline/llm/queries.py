@@ -37,3 +37,10 @@ def op10_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     from vetline.llm import minhash
 
     return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query
+def op8_suffix_two_stage(spark: SparkSession, folder: str) -> DataFrame:
+    from vetline.llm import suffixes
+
+    return suffixes.remove_repeats(table(spark, folder, "documents"))
