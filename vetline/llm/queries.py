@@ -44,3 +44,10 @@ def op8_suffix_two_stage(spark: SparkSession, folder: str) -> DataFrame:
     from vetline.llm import suffixes
 
     return suffixes.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op7_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    from vetline.llm import ppm
+
+    return ppm.score(table(spark, folder, "documents"))
