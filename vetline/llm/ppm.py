@@ -6,8 +6,8 @@ before one end mark; the mark is 0xFF, which UTF-8 never uses.
 
 The trie keeps every string that makes up at least 1 / 2**SUPPORT of the training bytes, whatever their
 number. So it has at most 2**SUPPORT strings of each length, which bounds what is broadcast; a string that
-is kept has all its endings kept. Escape probabilities follow method C (as many escapes as there are
-symbols), and the symbols of a context are excluded from the shorter ones.
+is kept has all its endings kept. A context escapes as often as it has symbols (method C) plus as often as
+training saw it before strings that were not kept. The symbols of a context are excluded from shorter ones.
 
 Word counts have no bound. Words that make up at least 1 / 2**SUPPORT of the training tokens are broadcast
 (again at most 2**SUPPORT); all others are looked up by a join. Words are told apart by a 64-bit hash.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from vetline.llm.kernels import LOWER, slices, word_hashes, words
 from vetline.session import materialize
 
-ORDER = 4
+ORDER = 5
 SUPPORT = 20
 MARK = 0xFF
 END_TOKEN = np.uint64(0)
@@ -91,7 +91,7 @@ class Trie:
         self.order = order
         self.counts = [Lookup(*grams[d + 1]) for d in range(order + 1)]
         self.contexts: list[np.ndarray] = []
-        self.totals, self.symbols, self.hidden = [], [], []
+        self.totals, self.symbols, self.hidden, self.lost = [], [], [], []
         for d in range(order + 1):
             keys, counts = grams[d + 1]
             contexts, inverse = np.unique(keys >> np.uint64(8), return_inverse=True)
@@ -101,8 +101,10 @@ class Trie:
             if d:  # what the symbols of a context weigh in the next shorter one
                 shorter = self.counts[d - 1].exact(keys & np.uint64((1 << 8 * d) - 1), 0.0)
                 self.hidden.append(np.bincount(inverse, shorter, len(contexts)))
+                self.lost.append(np.maximum(self.counts[d - 1].exact(contexts, 0.0) - self.totals[d], 0))
             else:
                 self.hidden.append(np.zeros(len(contexts)))
+                self.lost.append(np.zeros(len(contexts)))
         top = grams[order + 1][0]
         self.known = Lookup(top, self.slow(top))
 
@@ -120,12 +122,13 @@ class Trie:
             at, rows = at[here], todo[here]
             n = self.totals[d][at] - hidden_n[rows]
             q = self.symbols[d][at] - hidden_q[rows]
+            escapes = q + self.lost[d][at]
             count = self.counts[d].exact(own[here], 0.0)
             hit = count > 0
             with np.errstate(divide="ignore", invalid="ignore"):
-                out[rows[hit]] += np.log10(count[hit] / (n[hit] + q[hit]))
-                left = ~hit & (q > 0)
-                out[rows[left]] += np.log10(q[left] / (n[left] + q[left]))
+                out[rows[hit]] += np.log10(count[hit] / (n[hit] + escapes[hit]))
+                left = ~hit & (escapes > 0)
+                out[rows[left]] += np.log10(escapes[left] / (n[left] + escapes[left]))
             hidden_n[rows], hidden_q[rows] = self.hidden[d][at], self.symbols[d][at]
             done = np.zeros(len(codes), bool)
             done[rows[hit]] = True
