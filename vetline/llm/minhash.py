@@ -140,8 +140,9 @@ def _links(pairs: DataFrame, codes: DataFrame, texts: DataFrame, words: int, per
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", doc_id: str = "doc_id", hashes: int = HASHES, miss: float = MISS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable), kept (it is that id).
+    """One row per document: doc_id, mark, n_shingles, component_id (the smallest id reachable), kept (it is that id).
 
+    `mark` is a 64-bit hash of the text.
     Links join documents with 100 * intersection >= percent * union of their sets of `words`-word shingles.
     Null, empty and blank texts have empty sets and are linked with nothing. Rows that repeat an id give a
     row each. A null id stays null; such a row takes part as a copy of an equal set, not as a near copy,
@@ -185,7 +186,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: st
     )
     more = _links(rest.join(tried, ["a", "b"], "left_anti"), codes, texts, words, percent, stops)
     final = components(links.union(more))
-    grouped = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(final, "node", "left")
-    return grouped.select("doc_id", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id")).withColumn(
+    grouped = signed.select("doc_id", "mark", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(final, "node", "left")
+    return grouped.select("doc_id", "mark", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )

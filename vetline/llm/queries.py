@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vetline.llm import bpe, lines, minhash, ppm, quality, suffixes, tiling
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,34 +22,44 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
+    import public_tokenizers  # its place is known where the vocabularies are installed only
 
     return public_tokenizers.path(name)
 
 
 @query
 def op9_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
-    from vetline.llm import bpe
-
     return bpe.encode(table(spark, folder, "documents"), vocabulary())
 
 
 @query
 def op10_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
-    from vetline.llm import minhash
-
-    return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
+    return minhash.near_duplicates(table(spark, folder, "documents"), percent=85).drop("mark")
 
 
 @query
 def op8_suffix_two_stage(spark: SparkSession, folder: str) -> DataFrame:
-    from vetline.llm import suffixes
-
     return suffixes.remove_repeats(table(spark, folder, "documents"))
 
 
 @query
 def op7_ppm(spark: SparkSession, folder: str) -> DataFrame:
-    from vetline.llm import ppm
-
     return ppm.score(table(spark, folder, "documents"))
+
+
+@query
+def op3_quality_empirical_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("mark")
+
+
+@query
+def op4_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.remove_spread_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLES["op4_line_spread"] = lines.ORACLE
+
+
+@query
+def op5_greedy_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("mark")
