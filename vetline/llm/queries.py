@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetline.llm import bpe, lines, minhash, ppm, quality, suffixes, tiling
+from vetline.llm import bpe, lines, minhash, ppm, quality, suffixes, tiling, warc
+from vetline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +64,10 @@ ORACLES["op4_line_spread"] = lines.ORACLE
 @query
 def op5_greedy_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("mark")
+
+
+@query
+def op6_warc_shards(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives)
