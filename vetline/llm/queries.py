@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetline.llm import bpe, lines, minhash, ppm, quality, suffixes, tiling, warc
+from vetline.llm import bpe, lines, minhash, permutation, ppm, quality, suffixes, tiling, warc
 from vetline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op6_warc_shards(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), archives)
     return warc.read_archives(spark, archives)
+
+
+@query
+def op1_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation.nearest(table(spark, folder, "embeddings"))
