@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetline.llm import bpe, lines, minhash, permutation, ppm, quality, suffixes, tiling, warc
+from vetline.llm import bpe, lines, minhash, permutation, pii, ppm, quality, suffixes, tiling, warc
 from vetline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op6_warc_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
     return permutation.nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op2_pii_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
