@@ -181,7 +181,7 @@ def _count(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
         yield from rows(kind)
 
 
-def _score(batches: Iterator[pa.RecordBatch], trie, frequent, tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], trie, frequent, ends_seen: int, tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
     floor, total = ALPHA, tokens + ALPHA * (kinds + 1)
     model, common = trie.value, frequent.value
     for batch in batches:
@@ -195,9 +195,8 @@ def _score(batches: Iterator[pa.RecordBatch], trie, frequent, tokens: int, kinds
             known = counts > 0
             row = np.repeat(np.arange(hi - lo), np.diff(first))
             base = np.bincount(row, np.where(known, np.log10((counts + floor) / total), 0.0), hi - lo)
-            end = common(np.array([END_TOKEN]), 0.0)[0]
-            base += np.log10((end + floor) / total)
-            n_known = np.bincount(row[known], minlength=hi - lo) + int(end > 0)
+            base += np.log10((ends_seen + floor) / total)
+            n_known = np.bincount(row[known], minlength=hi - lo) + int(ends_seen > 0)
             rare = hashes[~known].view(np.int64)
             edges = np.searchsorted(row[~known], np.arange(hi - lo + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -231,6 +230,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: in
     sums = {r["kind"]: (r["n"], r["kinds"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
     tokens, kinds = sums.get(0, (0, 0))
     symbols = sums.get(1, (0, 0))[0]
+    ends_seen = counts.filter((F.col("kind") == 0) & (F.col("key") == int(END_TOKEN))).agg(F.sum("n")).first()[0] or 0
     lengths = F.explode(F.array(*[F.struct(F.lit(k).alias("length"), F.col("key").bitwiseAND((1 << 8 * k) - 1).alias("key")) for k in range(1, order + 2)]))
     grams = counts.filter("kind = 1").select(lengths.alias("g"), "n").groupBy("g.length", "g.key").agg(F.sum("n").alias("n"))
     # at most 2**support rows of each length can reach the share; so for words
@@ -248,7 +248,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: in
     trie, common = spark.sparkContext.broadcast(trie), spark.sparkContext.broadcast(common)
     scored = materialize(
         rows.mapInArrow(
-            lambda it: _score(it, trie, common, tokens, kinds),
+            lambda it: _score(it, trie, common, ends_seen, tokens, kinds),
             "doc_id long, held_out boolean, n_tokens long, n_common long, base_common double, score double, rare array<long>",
         ).withColumn("row", F.monotonically_increasing_id()),
         "scored",
