@@ -5,9 +5,12 @@ are candidates. Byte-sized signatures of candidates are compared batch by batch;
 as the posterior probability that its similarity reaches the threshold falls below `miss`. Surviving pairs
 are confirmed on their full shingle sets, and links become components.
 
-A band's bucket does not yield all its pairs. Its first member is compared with all others; when links so
-found have been joined into components, only pairs from different components are compared, for no other
-pair can change a component. A bucket of near copies of one text so costs pairs in proportion to its size.
+A band's bucket does not yield all its pairs. Its first member is compared with all others, and the links so
+found are joined into components. Then only members of different components can still change anything. They
+are compared within tasks, bucket by bucket, on their signatures; what leaves a task is at most one row per
+member, which ties members with promising pairs into clusters. The texts of a cluster meet in a task, promising
+pairs are confirmed there, and pairs that links have joined meanwhile are skipped; again at most one row per
+member leaves. Large buckets and clusters are cut into tiles, and tiles meet in pairs, so that every pair meets.
 
 The number of rows in a band is the largest at which `hashes` values leave a true pair without a common
 band with a probability of at most `miss`.
@@ -31,6 +34,8 @@ from vetline.session import materialize
 HASHES = 336
 BATCH = 48
 MISS = 1e-6
+TILE_ROWS = 2048
+TILE_BYTES = 8 << 20
 
 
 def bands(threshold: float, hashes: int = HASHES, miss: float = MISS) -> tuple[int, int]:
@@ -67,6 +72,16 @@ def signatures(sets: np.ndarray, seeds: np.ndarray, shifts: np.ndarray) -> np.nd
     return least
 
 
+def _code(least: np.ndarray) -> np.ndarray:
+    """One byte of each value, mixed from all of its bits."""
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _functions(hashes: int) -> tuple[np.ndarray, np.ndarray]:
     drawn = mix64(np.arange(1, hashes + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     return (drawn >> np.uint64(32)).astype(np.uint32) | np.uint32(1), drawn.astype(np.uint32)
@@ -90,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch], words: int, hashes: int, rows: int)
                     continue
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 least = signatures(own, seeds, shifts)
-                codes.append(((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes())
+                codes.append(_code(least).tobytes())
                 held = least[: n_bands * rows].reshape(n_bands, rows).astype(np.uint64)
                 keys.append(mix64((held * factors).sum(axis=1, dtype=np.uint64) ^ places).view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -119,10 +134,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Ite
         for lo in range(0, len(batch), 256):
             part = batch.slice(lo, 256)
             sets = [[s for _, _, data, offsets in slices(part.column(i)) for s in shingle_sets(data, offsets, words)] for i in (2, 3)]
-            keep = []
-            for x, y in zip(*sets, strict=True):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            keep = [_linked(x, y, percent) for x, y in zip(*sets, strict=True)]
             yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -139,6 +151,93 @@ def _links(pairs: DataFrame, codes: DataFrame, texts: DataFrame, words: int, per
     return materialize(full.mapInArrow(lambda it: _confirm(it, words, percent), "a long, b long").distinct(), "links")
 
 
+def _tiled(rows: DataFrame, group: str, tiles: str) -> DataFrame:
+    """Each row for every pair of tiles of its group that holds its own; ordered by (group, one, other)."""
+    own = F.pmod(F.xxhash64("node"), F.col(tiles))
+    paired = rows.withColumn("tile", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col(tiles) - 1)))
+    keyed = paired.withColumns({"one": F.least("tile", "with"), "other": F.greatest("tile", "with")}).drop("tile", "with", tiles)
+    return keyed.repartition(group, "one", "other").sortWithinPartitions(group, "one", "other", "node")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[tuple]]:
+    """Runs of rows with equal (group, one, other), as tuples of `columns`."""
+    held: list[tuple] = []
+    key = None
+    for batch in batches:
+        keys = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+        for own, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if own != key:
+                if len(held) > 1:
+                    yield held
+                key, held = own, []
+            held.append(row)
+    if len(held) > 1:
+        yield held
+
+
+def _promising(codes: np.ndarray, i: int, others: np.ndarray, stops: list[tuple[int, int]]) -> np.ndarray:
+    """Those of `others` whose signatures do not rule out a link with i, the best first."""
+    matches = np.zeros(len(others), np.int64)
+    done = 0
+    for n, least in stops:
+        matches += (codes[others, done:n] == codes[i, done:n]).sum(axis=1)
+        alive = matches >= least
+        others, matches, done = others[alive], matches[alive], n
+    return others[np.argsort(-matches, kind="stable")]
+
+
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def _cluster(batches: Iterator[pa.RecordBatch], stops: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Edges that tie members with promising pairs between different labels together."""
+    for group in _groups(batches, ["node", "label", "code"]):
+        nodes, labels = np.array([g[0] for g in group]), np.array([g[1] for g in group])
+        codes = np.frombuffer(b"".join(g[2] for g in group), np.uint8).reshape(len(group), -1)
+        root = np.arange(len(nodes))
+        pairs = []
+        for i in range(len(nodes) - 1):
+            others = np.flatnonzero((labels != labels[i]) & (root != root[i]))
+            for j in _promising(codes, i, others[others > i], stops).tolist():
+                if root[j] != root[i]:
+                    root[root == root[j]] = root[i]
+                    pairs.append((int(nodes[i]), int(nodes[j])))
+        yield _pair_batch(pairs)
+
+
+def _confirm_clusters(batches: Iterator[pa.RecordBatch], words: int, percent: int, hashes: int, stops: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Links between different labels, as many as it takes to join what is linked."""
+    seeds, shifts = _functions(hashes)
+    for group in _groups(batches, ["node", "label", "body"]):
+        nodes = np.array([g[0] for g in group])
+        sets = [s for _, _, data, offsets in slices(pa.array([g[2] for g in group], pa.binary())) for s in shingle_sets(data, offsets, words)]
+        codes = np.stack([_code(signatures(own, seeds, shifts)) for own in sets])
+        root = np.unique([g[1] for g in group], return_inverse=True)[1]
+        pairs = []
+        for i in range(len(nodes) - 1):
+            others = np.flatnonzero(root != root[i])
+            for j in _promising(codes, i, others[others > i], stops).tolist():
+                if root[j] != root[i] and _linked(sets[i], sets[j], percent):
+                    root[root == root[j]] = root[i]
+                    pairs.append((int(nodes[i]), int(nodes[j])))
+        yield _pair_batch(pairs)
+
+
+def _links_between(members: DataFrame, labels: DataFrame, codes: DataFrame, texts: DataFrame, words: int, percent: int, hashes: int, stops: list) -> DataFrame:
+    """The links that join different components and share a bucket."""
+    named = members.select("band", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+    open_ = named.join(mixed.select("band", F.ceil(F.col("n") / TILE_ROWS).alias("tiles")), "band").join(codes.select("node", "code"), "node")
+    tied = _tiled(open_.select("band", "node", "label", "code", "tiles"), "band", "tiles").select("band", "one", "other", "node", "label", "code")
+    edges = materialize(tied.mapInArrow(lambda it: _cluster(it, stops), "a long, b long").distinct(), "tied")
+    clusters = materialize(components(edges).withColumnRenamed("label", "cluster"), "clusters")
+    rows = clusters.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(texts.join(codes.select("node", "mark"), ["node", "mark"]), "node")
+    tiles = rows.groupBy("cluster").agg(F.ceil(F.sum(F.length("body") + 1) / TILE_BYTES).alias("tiles"))
+    met = _tiled(rows.join(tiles, "cluster").select("cluster", "node", "label", "body", "tiles"), "cluster", "tiles").select("cluster", "one", "other", "node", "label", "body")
+    return materialize(met.mapInArrow(lambda it: _confirm_clusters(it, words, percent, hashes, stops), "a long, b long"), "more_links")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", doc_id: str = "doc_id", hashes: int = HASHES, miss: float = MISS) -> DataFrame:
     """One row per document: doc_id, mark, n_shingles, component_id (the smallest id reachable), kept (it is that id).
 
@@ -172,19 +271,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: st
     tried = members.filter("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(tried, codes, texts, words, percent, stops)
     labels = materialize(components(links), "labels")
-    named = members.join(labels, "node", "left").select("band", "node", "first", F.coalesce("label", "node").alias("label"))
-    mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band")
-    open_members = materialize(named.join(mixed, "band"), "open_buckets")
-    others = open_members.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    rest = (
-        open_members.filter("node > first")
-        .select("band", F.col("node").alias("a"), "label")
-        .join(others, "band")
-        .filter("a < b and label <> label_b")
-        .select("a", "b")
-        .distinct()
-    )
-    more = _links(rest.join(tried, ["a", "b"], "left_anti"), codes, texts, words, percent, stops)
+    more = _links_between(members, labels, codes, texts, words, percent, hashes, stops)
     final = components(links.union(more))
     grouped = signed.select("doc_id", "mark", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(final, "node", "left")
     return grouped.select("doc_id", "mark", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id")).withColumn(

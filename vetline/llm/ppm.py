@@ -194,7 +194,7 @@ def _score(batches: Iterator[pa.RecordBatch], trie, frequent, ends_seen: int, to
             counts = common(hashes, 0.0)
             known = counts > 0
             row = np.repeat(np.arange(hi - lo), np.diff(first))
-            base = np.bincount(row, np.where(known, np.log10((counts + floor) / total), 0.0), hi - lo)
+            base = np.bincount(row, np.where(known, np.log10((counts + floor) / total), 0.0), hi - lo).astype(float)
             base += np.log10((ends_seen + floor) / total)
             n_known = np.bincount(row[known], minlength=hi - lo) + int(ends_seen > 0)
             rare = hashes[~known].view(np.int64)
