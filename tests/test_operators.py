@@ -151,6 +151,18 @@ def names(seed, count):
     return made + ["", "", "-", made[0]]
 
 
+@pytest.mark.parametrize("small_rows", [0, 10])
+def test_merge_rows_small_and_large(spark, small_rows):
+    schema = "k int, l string, v string, n int"
+    target = spark.createDataFrame([(1, "a", "x", 1), (2, None, "y", 2), (3, "c", None, 3)], schema)
+    new = spark.createDataFrame([(2, None, "z", 1), (4, "d", "w", 4), (1, "a", None, 5)], schema)
+    rules = {"n": op.Rule.GREATEST, "v": op.Rule.KEEP_FIRST}
+    want = [(1, "a", "x", 5), (2, None, "y", 2), (3, "c", None, 3), (4, "d", "w", 4)]
+    for _ in range(2):
+        target = op.merge_rows(target, new, ["k", "l"], rules, small_rows=small_rows)
+        assert rows(target.select("k", "l", "v", "n")) == rows(spark.createDataFrame(want, schema).select("k", "l", "v", "n"))
+
+
 @pytest.mark.parametrize("threshold", [0.3, 0.5, 0.7, 0.9])
 @pytest.mark.parametrize("broadcast_limit", [0, 1 << 27])
 def test_similarity_join_is_brute_force(spark, threshold, broadcast_limit):
@@ -166,6 +178,25 @@ def test_similarity_join_is_brute_force(spark, threshold, broadcast_limit):
     assert len(rows(want)) > 10  # the fixture holds true pairs at every threshold
 
 
+def test_similarity_join_of_texts_that_grow_in_lower_case(spark):
+    left, right = (spark.createDataFrame([(v,)], f"{c} string") for c, v in (("a", "a\u0130b c"), ("b", "a\u0130b")))
+    score = left.crossJoin(right).select(trigram_similarity("a", "b")).first()[0]
+    assert score > 0.7
+    for broadcast_limit in (1 << 27, 0):
+        found = op.similarity_join(left, right, "a", "b", 0.7, broadcast_limit=broadcast_limit).collect()
+        assert [(r.a, r.b, r.similarity_score) for r in found] == [("a\u0130b c", "a\u0130b", pytest.approx(score))]
+
+
+def test_similarity_join_emits_less_than_a_cross_product(spark):
+    from vetline.operators.similarity import _distinct_values, candidate_rows
+
+    syllables = ["ka", "rim", "ov", "an", "der", "sen", "mo", "li", "ta", "ru"]
+    text = lambda i: " ".join("".join(syllables[(i * k + k) % 10] for k in range(j, j + 3)) for j in (1, 3))
+    probes = _distinct_values(spark.createDataFrame([(f"{text(i)} {i}",) for i in range(2000)], "a string"), "a", "left")
+    listed = _distinct_values(spark.createDataFrame([(f"{text(i)} {i}",) for i in range(0, 6000, 15)], "b string"), "b", "right")
+    assert candidate_rows(probes, listed, 0.7).count() < probes.count() * listed.count() / 4
+
+
 def test_similarity_join_with_a_hot_name(spark):
     """A third of the probes carry one name: it is scored once and fanned out again."""
     left = spark.range(3000).select(

@@ -275,3 +275,37 @@ def test_jobs_from_files_to_signals(spark, tmp_path):
     assert rows(vacancies, "active_from", "active_to") == [(D(2026, 1, 3), D(2026, 1, 5))]
     quarantined = spark.read.json(f"{warehouse}/quarantine/vacancies_list")
     assert rows(quarantined, "line", "line_no") == [("{broken", 4), ("{broken", 4)]
+
+
+def test_store_keeps_its_bucket_count(spark):
+    path, schema = scratch_path(spark, "store"), "k int, v string"
+    first = spark.createDataFrame([(i, "a") for i in range(40)], schema)
+    KeyedStore(spark, path, schema, ["k"], buckets=6).upsert(first, [F.col("v")])
+    for buckets in (4, 8):
+        with pytest.raises(ValueError, match="6 buckets"):
+            KeyedStore(spark, path, schema, ["k"], buckets=buckets)
+    again = KeyedStore(spark, path, schema, ["k"])
+    again.upsert(spark.createDataFrame([(1, "b")], schema), [F.col("v")])
+    assert again.buckets == 6 and again.read().count() == 40
+    with pytest.raises(ValueError, match="null"):
+        again.upsert(spark.createDataFrame([(None, "b")], schema), [F.col("v")])
+    assert again.read().count() == 40
+
+
+def test_store_survives_a_failure_before_the_switch(spark, monkeypatch):
+    path, schema = scratch_path(spark, "store"), "k int, v string"
+    store = KeyedStore(spark, path, schema, ["k"], buckets=3)
+    store.upsert(spark.createDataFrame([(i, "a") for i in range(20)], schema).repartition(16), [F.col("v")])
+    files = store.read().select("_metadata.file_path").distinct().count()
+    assert files <= 3
+    monkeypatch.setattr(KeyedStore, "_switch", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.upsert(spark.createDataFrame([(i, "b") for i in range(20)], schema), [F.col("v")])
+    assert rows(store.read()) == sorted([(i, "a") for i in range(20)], key=repr)
+
+
+def test_quoted_keys_load_and_unkeyed_lines_do_not(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"id":"101","n":"x"}\n{"id":102,"n":5}\n\n{"id":"no"}\n{"n":1}\n{"id":\n')
+    good, bad = jsonl.read_jsonl_quarantine(spark, str(tmp_path), "id bigint, n string", ["id"])
+    assert rows(good, "id", "n") == [(101, "x"), (102, "5")]
+    assert rows(bad, "line_no", "reason") == [(4, "no key"), (5, "no key"), (6, "not JSON")]

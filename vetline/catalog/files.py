@@ -93,9 +93,25 @@ def scan_json_report(t: Data) -> DataFrame:
     return jsonl.read_report(t.spark, path, "expected_count bigint, loaded_count bigint, ds date")
 
 
-@query("scan_table", "SELECT l_orderkey, l_quantity FROM {lineitem} WHERE l_quantity > 45")
+@query(
+    "quarantined_lines",
+    """SELECT left(record, length(record) - 5) AS line, 'not JSON' AS reason
+       FROM (SELECT '{{"o_orderkey":' || o_orderkey || ',"o_clerk":"' || o_orderstatus || '"}}' AS record, o_orderstatus FROM {orders})
+       WHERE o_orderstatus = 'P'""",
+)
+def quarantined_lines(t: Data) -> DataFrame:
+    """The bad lines themselves; that good ones stay out shows in their absence."""
+    path = scratch_path(t.spark, "cut")
+    record = F.concat(F.lit('{"o_orderkey":'), F.col("o_orderkey").cast("string"), F.lit(',"o_clerk":"'), F.col("o_orderstatus"), F.lit('"}'))
+    cut = F.substring(record, F.lit(1), F.length(record) - 5)
+    t["orders"].select(F.when(F.col("o_orderstatus") == "P", cut).otherwise(record).alias("value")).write.text(path)
+    _, bad = jsonl.read_jsonl_quarantine(t.spark, path, "o_orderkey bigint, o_clerk string", ["o_orderkey"])
+    return bad.select("line", "reason")
+
+
+@query("scan_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM {lineitem}")
 def scan_table(t: Data) -> DataFrame:
-    return t.tables["lineitem"].filter("l_quantity > 45").select("l_orderkey", "l_quantity")
+    return t.tables["lineitem"].select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 CSV_SCHEMA = "id string, name string, region string, keyword string, employer string, published_at string"

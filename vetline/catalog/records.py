@@ -219,13 +219,13 @@ def anti_missing_ids(t: Data) -> DataFrame:
 
 @query(
     "anti_new_rows",
-    f"""SELECT id, name FROM {{csv_items}} n WHERE published_at >= '{CUT}'
-        AND NOT EXISTS (SELECT 1 FROM {{csv_items}} o WHERE o.published_at < '{CUT}' AND o.id = n.id AND o.name = n.name)""",
+    f"""SELECT id, name FROM {{csv_items}} n WHERE NOT EXISTS (SELECT 1 FROM {{csv_items}} o
+        WHERE o.published_at < '{CUT}' AND o.id IS NOT DISTINCT FROM n.id AND o.name IS NOT DISTINCT FROM n.name)""",
 )
 def anti_new_rows(t: Data) -> DataFrame:
+    """The whole history arrives again; rows from before the cut are there already."""
     items = t["csv_items"]
-    old, new = items.filter(F.col("published_at") < CUT), items.filter(F.col("published_at") >= CUT)
-    return op.new_rows_only(old, new, ["id", "name"]).select("id", "name")
+    return op.new_rows_only(items.filter(F.col("published_at") < CUT), items, ["id", "name"]).select("id", "name")
 
 
 # --- aggregations ------------------------------------------------------------------------------
@@ -266,17 +266,33 @@ def failures_by_status(t: Data) -> DataFrame:
 
 @query(
     "batch_status_counts",
-    """SELECT batch_idx, count(*) FILTER (status = '200') AS ok, count(*) FILTER (status <> '200') AS failed,
+    """SELECT batch_idx, count(*) FILTER (status = '200') AS ok, count(*) FILTER (status IS DISTINCT FROM '200') AS failed,
               count(*) FILTER (status = 'exception') AS exceptions, 0 AS is_total
        FROM {responses} GROUP BY batch_idx
        UNION ALL
-       SELECT NULL, count(*) FILTER (status = '200'), count(*) FILTER (status <> '200'),
+       SELECT NULL, count(*) FILTER (status = '200'), count(*) FILTER (status IS DISTINCT FROM '200'),
               count(*) FILTER (status = 'exception'), 1 FROM {responses}""",
 )
 def batch_status_counts(t: Data) -> DataFrame:
     return op.batch_status_counts(t["responses"].withColumnRenamed("status", "http_status"))
 
 
+@query(
+    "batch_statuses",
+    "SELECT batch_idx, coalesce(status, 'unknown') AS http_status, count(*) AS n FROM {responses} GROUP BY 1, 2",
+)
+def batch_statuses(t: Data) -> DataFrame:
+    return op.batch_statuses(t["responses"].withColumnRenamed("status", "http_status"))
+
+
+@query(
+    "distinct_id_rows",
+    "SELECT DISTINCT cast(l_orderkey AS varchar) AS id FROM {lineitem} WHERE l_orderkey IS NOT NULL",
+)
+def distinct_id_rows(t: Data) -> DataFrame:
+    return op.distinct_ids(t["lineitem"], "l_orderkey")
+
+
 @query(
     "profile_counts",
     "SELECT search_profile, count(*) AS n FROM {list_bronze} GROUP BY search_profile",
@@ -661,7 +677,7 @@ FROM {{events}} WHERE {1} GROUP BY 1
                coalesce(n.expected_count, o.expected_count) AS expected_count,
                coalesce(n.loaded_count, o.loaded_count) AS loaded_count,
                CASE WHEN n.load_type IS NULL THEN o.failures ELSE n.failures END AS failures
-        FROM ({REPORTS.format("'first'", "event_type <> 'signup'")}) o
+        FROM ({REPORTS.format("'first'", "true")}) o
         FULL JOIN ({REPORTS.format("'rerun'", "ts >= timestamp '2024-01-10 00:00:00'")}) n USING (load_dt)""",
 )
 def upsert_report(t: Data) -> DataFrame:
@@ -675,7 +691,7 @@ def upsert_report(t: Data) -> DataFrame:
         )
 
     events = t["events"]
-    first = reports(events.filter("event_type <> 'signup'"), "first")
+    first = reports(events, "first")
     rerun = reports(events.filter(F.col("ts") >= F.lit("2024-01-10").cast("date")), "rerun")
     return op.merge_rows(first, rerun, ["load_dt"])
 

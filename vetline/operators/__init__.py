@@ -1,7 +1,9 @@
 from vetline.operators.batches import assign_batches, enrich_from_manifest
 from vetline.operators.coverage import (
     batch_status_counts,
+    batch_statuses,
     coverage_report,
+    distinct_ids,
     failure_counts,
     missing_ids,
     profile_counts,
@@ -22,6 +24,8 @@ __all__ = [
     "concat_batches",
     "concat_keep_first",
     "coverage_report",
+    "batch_statuses",
+    "distinct_ids",
     "duplicate_keys",
     "enrich_from_manifest",
     "existing_columns",

@@ -55,8 +55,11 @@ def profile_counts(items: DataFrame) -> DataFrame:
 
 
 def batch_status_counts(responses: DataFrame) -> DataFrame:
-    """Ok, failed and exception counts per batch and over all batches (``batch_idx`` NULL)."""
-    ok = F.col("http_status") == "200"
+    """Ok, failed and exception counts per batch and over all batches (``batch_idx`` NULL).
+
+    A response without a status is a failure, so that ok and failed add up to all.
+    """
+    ok = F.col("http_status").eqNullSafe("200")
     return (
         responses.rollup("batch_idx")
         .agg(
@@ -68,6 +71,18 @@ def batch_status_counts(responses: DataFrame) -> DataFrame:
     )
 
 
+def batch_statuses(responses: DataFrame) -> DataFrame:
+    """Responses per batch and status; a missing status counts as ``unknown``."""
+    status = F.coalesce("http_status", F.lit("unknown")).alias("http_status")
+    return responses.groupBy("batch_idx", status).agg(F.count("*").alias("n"))
+
+
+def distinct_ids(df: DataFrame, column: str) -> DataFrame:
+    """Every id once, as text; missing and empty ones are none."""
+    ids = df.select(F.col(column).cast("string").alias("id"))
+    return ids.filter("id IS NOT NULL AND id <> ''").distinct()
+
+
 def _count_map(failures: DataFrame, column: str) -> DataFrame:
     counts = failure_counts(failures, column)
     return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n")))))

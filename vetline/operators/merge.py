@@ -1,9 +1,10 @@
 """Upserts on immutable files.
 
-``merge_rows`` gives the target after an INSERT ... ON CONFLICT DO UPDATE. The target is the left,
-streamed side of one left join, so a delta small enough to broadcast never shuffles the target;
-only its key column is read a second time, to find which updates are inserts. With a large
-delta both joins fall back to sort-merge, and on a target bucketed by the key only the delta moves.
+``merge_rows`` gives the target after an INSERT ... ON CONFLICT DO UPDATE. The updates, one per key, are
+stored first, so that nothing computes them twice and their number is known. Up to ``SMALL_ROWS`` of them Spark can
+broadcast: the target streams through one left join and never shuffles; only its key columns are read a second
+time, to find which updates are inserts. More updates meet the target in one full outer join, which shuffles each side
+once. Both give the same rows. A null in a key equals another null there, so a replay adds nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetline.operators.dedup import latest_per_key
+from vetline.session import materialize
+
+
+SMALL_ROWS = 100_000
 
 
 class Rule(Enum):
@@ -38,43 +43,53 @@ def _resolve(rule: Rule | Column, old: Column, new: Column) -> Column:
     return rule
 
 
+def _same_key(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")) for key in keys]
+
+
 def merge_rows(
     target: DataFrame,
     updates: DataFrame,
     keys: Sequence[str],
     rules: Mapping[str, Rule | Column] | None = None,
     latest_by: Sequence[Column] | None = None,
+    stored: bool = False,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """The target with the updates merged in; columns without a rule are replaced.
 
     A rule may also be an expression over ``new.<column>`` and ``old.<column>``. Two updates of one
     key would be ambiguous: ``latest_by`` picks the one that counts. The result has the columns of
-    the target.
+    the target. ``stored`` says that the updates are read from a table, not computed.
     """
     rules = dict(rules or {})
     columns = target.columns
     if latest_by is not None:
         updates = latest_per_key(updates, keys, latest_by)
     updates = updates.select(*columns)
+    if not stored or latest_by is not None:
+        updates = materialize(updates, "updates")
 
+    small = updates.count() <= small_rows
     new = updates.withColumn("_hit", F.lit(True)).alias("new")
-    old = target.alias("old")
-    same_key = [F.col(f"old.{key}") == F.col(f"new.{key}") for key in keys]
-    merged = old.join(new, same_key, "left").select(
-        *[
-            F.col(f"old.{name}")
-            if name in keys
-            else F.when(
-                F.col("new._hit"),
-                _resolve(rules.get(name, Rule.REPLACE), F.col(f"old.{name}"), F.col(f"new.{name}")),
-            )
-            .otherwise(F.col(f"old.{name}"))
-            .alias(name)
-            for name in columns
-        ]
-    )
-    known = target.select(*keys).join(updates.select(*keys), list(keys), "left_semi")
-    return merged.unionByName(updates.join(known, list(keys), "left_anti"))
+    old = target.withColumn("_here", F.lit(True)).alias("old")
+    joined = old.join(new, _same_key(keys), "left" if small else "full")
+
+    def merged(name: str) -> Column:
+        before, after = F.col(f"old.{name}"), F.col(f"new.{name}")
+        if name in keys:
+            return F.coalesce(before, after).alias(name)
+        resolved = F.when(F.col("old._here").isNull(), after).otherwise(_resolve(rules.get(name, Rule.REPLACE), before, after))
+        return F.when(F.col("new._hit"), resolved).otherwise(before).alias(name)
+
+    rows = joined.select(*[merged(name) for name in columns])
+    return rows.unionByName(_missing(updates, target, keys)) if small else rows
+
+
+def _missing(updates: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The updates whose key the target lacks; of the target only keys that the updates hold are moved."""
+    known = target.select(*keys).alias("old").join(updates.select(*keys).alias("new"), _same_key(keys), "left_semi")
+    return updates.alias("new").join(known.alias("old"), _same_key(keys), "left_anti")
 
 
 def new_rows_only(
@@ -86,8 +101,7 @@ def new_rows_only(
     against a large target and the target's rows never move.
     """
     fresh = latest_per_key(updates, keys, first_by) if first_by is not None else updates
-    known = target.select(*keys).join(updates.select(*keys), list(keys), "left_semi")
-    return fresh.join(known, list(keys), "left_anti")
+    return _missing(fresh, target, keys)
 
 
 def insert_ignore(

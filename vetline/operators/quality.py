@@ -24,19 +24,27 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def check_constraints(
     table: str, df: DataFrame, not_null: Sequence[str], unique: Sequence[str] = ()
 ) -> DataFrame:
-    """``(table_name, column_name, rule, failures)`` for NOT NULL columns and a primary key."""
-    nulls = null_counts(df, not_null).select(
-        F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("rule"), "failures"
+    """``(table_name, column_name, rule, failures)`` for NOT NULL columns and a primary key, from one scan.
+
+    NULLs are counted per key on the way to the key counts.
+    """
+    nulls = {f"_null_{i}": F.count_if(F.col(name).isNull()) for i, name in enumerate(not_null)}
+    rules = {f"_null_{i}": (name, "not_null") for i, name in enumerate(not_null)}
+    if unique:
+        present = reduce(lambda left, right: left & right, [F.col(key).isNotNull() for key in unique])
+        per_key = df.groupBy(*unique).agg(F.count("*").alias("_n"), *[value.alias(name) for name, value in nulls.items()])
+        nulls = {name: F.coalesce(F.sum(name), F.lit(0)) for name in nulls}
+        nulls["_repeats"] = F.count_if(present & (F.col("_n") > 1))
+        rules["_repeats"] = (",".join(unique), "unique")
+        df = per_key
+    counts = df.agg(*[value.alias(name) for name, value in nulls.items()])
+    entries = F.array(
+        *[
+            F.struct(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(rule).alias("rule"), F.col(name).alias("failures"))
+            for name, (column, rule) in rules.items()
+        ]
     )
-    if not unique:
-        return nulls
-    repeats = duplicate_keys(df, unique).agg(F.count("*").alias("failures")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(",".join(unique)).alias("column_name"),
-        F.lit("unique").alias("rule"),
-        "failures",
-    )
-    return nulls.unionByName(repeats)
+    return counts.select(F.explode(entries).alias("c")).select("c.*")
 
 
 def check_all(tables: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:

@@ -1,18 +1,18 @@
 """Exact trigram-similarity join without a cross product.
 
-For a score above ``t`` a pair must share at least ``t * n`` of the ``n`` trigrams of its listed
-name. So any ``n - ceil(t * n) + 1`` of them, the *signature*, hold at least one shared trigram.
-The signature takes the trigrams that are rarest in the list. The listed side is indexed by its
-signature, the probing side is exploded into its trigrams, and an equi-join on the trigram gives one
-row per shared signature trigram. Two exact bounds thin the pairs out before any text is compared:
+Trigrams have one order: those that no listed value holds come first, then the rarest in the list. For a
+score above ``t`` a pair must share ``t * n`` of the ``n`` trigrams of either side. So the first
+``n - ceil(t * n) + 1`` trigrams of both sides, their *signatures*, share one. Both signatures are exploded
+and joined on the trigram; trigrams that the list does not hold are never emitted. Bounds on the join and behind
+it, all exact, thin pairs out before any text is compared:
 
 * length: ``t <= n1 / n2 <= 1 / t``;
-* count: a pair needs ``t * (n1 + n2) / (1 + t)`` shared trigrams in all, and beyond the ``c`` it
-  shares in the signature there are only ``ceil(t * n) - 1`` others it could share.
+* place: trigrams shared at places ``i`` and ``j`` leave room for ``min(i, j)`` shared ones before and
+  ``min(n1 - i, n2 - j)`` from there on, and a pair needs ``t * (n1 + n2) / (1 + t)`` in all;
+* count: beyond those shared in the signatures, only the rest of one side's trigrams could be shared.
 
-Values travel as 64-bit hashes until then. Two values with one hash could only add shared trigrams to
-each other's count, never hide any; the texts are joined back by hash and every surviving pair is
-scored in full from its two texts. Nothing is capped or sampled.
+Values travel as 64-bit hashes with their sizes until then; the texts are joined back by hash and every
+surviving pair is scored in full from its two texts. Nothing is capped or sampled.
 """
 
 from __future__ import annotations
@@ -43,42 +43,52 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def _spread(values: DataFrame, side: str, longest: float | None = None) -> DataFrame:
-    """``(gram, <side>_hash, <side>_size)``, one row per trigram; none for a value with more than ``longest``."""
+def _spread(values: DataFrame, side: str) -> DataFrame:
+    """``(gram, <side>_hash, <side>_size)``, one row per trigram."""
     sized = values.select(f"{side}_hash", packed_trigrams(f"{side}_value").alias("grams")).select(
         f"{side}_hash", "grams", F.size("grams").alias(f"{side}_size")
     )
-    usable = F.col(f"{side}_size") > 0
-    if longest is not None:
-        usable = usable & (F.col(f"{side}_size") <= longest)
-    return sized.select(f"{side}_hash", f"{side}_size", F.explode(F.when(usable, F.col("grams"))).alias("gram"))
+    return sized.select(f"{side}_hash", f"{side}_size", F.explode("grams").alias("gram"))
 
 
 def _outside_signature(size: Column, threshold: float) -> Column:
     return (F.ceil(size * threshold - SLACK) - 1).cast("int")
 
 
-def signature_index(listed: DataFrame, threshold: float) -> DataFrame:
-    """``(gram, right_hash, right_size)``, one row per signature trigram of a distinct listed value."""
-    spread = _spread(listed, "right")
-    frequency = spread.groupBy("gram").agg(F.count("*").alias("seen"))
+def _signatures(spread: DataFrame, frequency: DataFrame, side: str, threshold: float) -> DataFrame:
+    """``(gram, <side>_hash, <side>_size, <side>_place)``, one row per signature trigram that the list holds."""
+    size = F.col(f"{side}_size")
     # the group is one value's trigrams, bounded by its length
     ranked = (
         spread.join(frequency, "gram")
-        .groupBy("right_hash", "right_size")
+        .groupBy(f"{side}_hash", f"{side}_size")
         .agg(F.array_sort(F.collect_set(F.struct("seen", "gram"))).alias("ranked"))
+        .withColumn("unknown", F.greatest(size - F.size("ranked"), F.lit(0)))
+    )
+    room = F.greatest(size - _outside_signature(size, threshold) - F.col("unknown"), F.lit(0))
+    return ranked.select(f"{side}_hash", f"{side}_size", "unknown", F.posexplode(F.slice("ranked.gram", F.lit(1), room)).alias("at", "gram")).select(
+        "gram", f"{side}_hash", f"{side}_size", (F.col("at") + F.col("unknown")).alias(f"{side}_place")
     )
-    # two values may share a hash and a size: what lies outside one signature stays the same
-    length = F.size("ranked") - _outside_signature(F.col("right_size"), threshold)
-    signature = F.slice("ranked.gram", F.lit(1), length)
-    return ranked.select("right_hash", "right_size", F.explode(signature).alias("gram"))
 
 
-def index_bounds(listed: DataFrame, column: str, threshold: float) -> tuple[int, int]:
-    """Upper bounds of the index in bytes and of one value's trigrams, from text lengths alone."""
-    grams = F.length(column) + 1
-    size, longest = listed.agg(F.sum((grams * (1 - threshold) + 2) * ENTRY_BYTES), F.max(grams)).first()
-    return int(size or 0), int(longest or 0)
+def candidate_rows(probes: DataFrame, listed: DataFrame, threshold: float, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``(left_hash, left_size, right_hash, right_size)``, a row per shared signature trigram within the bounds."""
+    spread = materialize(_spread(listed, "right"), "listed_grams")
+    grams, least, most = spread.agg(F.count("*"), F.min("right_size"), F.max("right_size")).first()
+    frequency = spread.groupBy("gram").agg(F.count("*").alias("seen"))
+    index = _signatures(spread, frequency, "right", threshold)
+    near = F.col("left_size").between(threshold * (least or 0) - SLACK, (most or 0) / threshold + SLACK)
+    small = grams * ENTRY_BYTES <= broadcast_limit
+    # the list's trigrams bound both the frequencies and the index
+    side = F.broadcast if small else (lambda df: df.hint("merge"))
+    signed = _signatures(_spread(probes, "left").filter(near), side(frequency), "left", threshold)
+    n1, n2 = F.col("left_size"), F.col("right_size")
+    i, j = F.col("left_place"), F.col("right_place")
+    needed = threshold * (n1 + n2) / (1 + threshold)
+    close_lengths = (n1 >= threshold * n2 - SLACK) & (n2 >= threshold * n1 - SLACK)
+    room = F.least(i, j) + F.least(n1 - i, n2 - j) >= needed - SLACK
+    left, right = signed.withColumnRenamed("gram", "left_gram"), side(index)
+    return left.join(right, (F.col("left_gram") == F.col("gram")) & close_lengths & room).select("left_hash", "left_size", "right_hash", "right_size")
 
 
 def similar_values(
@@ -91,27 +101,21 @@ def similar_values(
 ) -> DataFrame:
     """Distinct ``(left_value, right_value, score)`` with a score above the threshold.
 
-    An index of proven small size is broadcast: the probes are then matched and counted where
+    A list whose trigrams prove it small is broadcast: the probes are then matched and counted where
     they lie. A larger one is joined by shuffling both sides on the trigram, where the adaptive
-    skew join splits a frequent trigram. The listed values and the candidate pairs (two hashes each)
-    are stored in between, so building this plan runs jobs.
+    skew join splits a frequent trigram. The listed values, their trigrams and the candidate pairs (two
+    hashes each) are stored in between, so building this plan runs jobs.
     """
     probes = _distinct_values(left, left_value, "left")
     listed = materialize(_distinct_values(right, right_value, "right"), "listed")
-    index_bytes, longest = index_bounds(listed, "right_value", threshold)
-    index = signature_index(listed, threshold)
-    index = F.broadcast(index) if index_bytes <= broadcast_limit else index.hint("merge")
-
     n1, n2 = F.col("left_size"), F.col("right_size")
-    close_lengths = (n1 >= threshold * n2 - SLACK) & (n2 >= threshold * n1 - SLACK)
     needed = threshold * (n1 + n2) / (1 + threshold)
+    rest = F.greatest(_outside_signature(n1, threshold), _outside_signature(n2, threshold))
     candidates = (
-        _spread(probes, "left", longest / threshold + SLACK)
-        .join(index, "gram")
-        .filter(close_lengths)
+        candidate_rows(probes, listed, threshold, broadcast_limit)
         .groupBy("left_hash", "left_size", "right_hash", "right_size")
         .agg(F.count("*").alias("met"))
-        .filter(F.col("met") + _outside_signature(n2, threshold) >= needed - SLACK)
+        .filter(F.col("met") + rest >= needed - SLACK)
         .select("left_hash", "right_hash")
     )
     candidates = materialize(candidates, "candidates")

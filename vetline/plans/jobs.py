@@ -39,7 +39,7 @@ STORES = {
 }
 
 
-def silver_stores(spark: SparkSession, warehouse: str, buckets: int = 256) -> dict[str, KeyedStore]:
+def silver_stores(spark: SparkSession, warehouse: str, buckets: int | None = None) -> dict[str, KeyedStore]:
     return {
         name: KeyedStore(spark, f"{warehouse}/silver/{name}", schema, keys, buckets)
         for name, (schema, keys) in STORES.items()
@@ -51,7 +51,7 @@ def _newest(*ties: str) -> list[Column]:
 
 
 def load_day(
-    spark: SparkSession, landing: str, warehouse: str, ds: str, load_type: str = "daily", buckets: int = 256
+    spark: SparkSession, landing: str, warehouse: str, ds: str, load_type: str = "daily", buckets: int | None = None
 ) -> None:
     """One business date: landed JSON lines to the four silver tables; bad lines go to quarantine.
 
@@ -61,7 +61,7 @@ def load_day(
     day = F.lit(ds).cast("date")
 
     def landed(entity: str, schema: str) -> DataFrame:
-        good, bad = read_jsonl_quarantine(spark, f"{landing}/{entity}/load_type={load_type}/dt={ds}", schema)
+        good, bad = read_jsonl_quarantine(spark, f"{landing}/{entity}/load_type={load_type}/dt={ds}", schema, ["id"])
         bad.write.mode("overwrite").json(f"{warehouse}/quarantine/{entity}/load_type={load_type}/dt={ds}")
         return good.withColumns({"load_dt": day, "load_type": F.lit(load_type)})
 
@@ -70,13 +70,15 @@ def load_day(
         vacancies.flatten_vacancies(bronze), _newest("published_at", "title"), {"active_from": Rule.KEEP_FIRST}
     )
     stores["employers"].upsert(
-        vacancies.employers_batch(bronze),
+        vacancies.employers_batch(bronze).filter("employer_id IS NOT NULL"),
         vacancies.latest_employer_order(),
         {"first_seen_dt": Rule.LEAST, "last_seen_dt": Rule.GREATEST},
     )
     details = landed("vacancy_details", BRONZE_DETAILS)
     stores["vacancy_text"].upsert(vacancies.silver_text(details), _newest("description_text"))
-    stores["vacancy_skills"].insert_ignore(vacancies.silver_skills(details), [F.col("load_dt")])
+    # a skill without a name has no key
+    named = vacancies.silver_skills(details).filter("skill_name IS NOT NULL")
+    stores["vacancy_skills"].insert_ignore(named, [F.col("load_dt")])
 
 
 def refresh_risk_signals(spark: SparkSession, warehouse: str, sanctioned: DataFrame | None = None) -> DataFrame:

@@ -14,8 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PROFILE_LIMIT = 1000
-
 
 @dataclass(frozen=True)
 class Profile:
@@ -64,13 +62,13 @@ def enabled_profiles(profiles: DataFrame) -> DataFrame:
 
 
 def profiles_from_rows(profiles: DataFrame) -> list[Profile]:
-    """Enabled profile rows (``groups`` as an array of arrays) as plan configuration."""
-    rows = enabled_profiles(profiles).limit(PROFILE_LIMIT + 1).collect()
-    if len(rows) > PROFILE_LIMIT:
-        raise ValueError(f"more than {PROFILE_LIMIT} enabled profiles")
+    """Enabled profile rows (``groups`` as an array of arrays) as plan configuration.
+
+    Profiles are written by people and become patterns of the plan, so all of them are read.
+    """
     return [
         Profile(row["profile_id"], tuple(tuple(group) for group in row["groups"]), row["expected_risk_category"])
-        for row in rows
+        for row in enabled_profiles(profiles).toLocalIterator()
     ]
 
 

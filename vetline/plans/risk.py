@@ -31,8 +31,12 @@ def _signal(name: str) -> Column:
 
 
 def join_text(vacancies: DataFrame, text: DataFrame) -> DataFrame:
-    """Text of the same vacancy and the same load date; a text of another day does not count."""
-    return vacancies.join(text.select("vacancy_id", "load_dt", "description_text"), ["vacancy_id", "load_dt"], "left")
+    """Text of the same vacancy and the same load date; a text of another day does not count.
+
+    Its length is taken before the join, so that where the text itself is not asked for it stays behind.
+    """
+    described = text.select("vacancy_id", "load_dt", "description_text", F.length("description_text").alias("text_length"))
+    return vacancies.join(described, ["vacancy_id", "load_dt"], "left")
 
 
 def join_employer(vacancies: DataFrame, employers: DataFrame) -> DataFrame:
@@ -53,7 +57,7 @@ def risk_signals(
         hits = sanctioned.select("employer_id").distinct().withColumn("_hit", F.lit(1))
         joined = joined.join(hits, "employer_id", "left")
         hit = F.coalesce(F.col("_hit"), F.lit(0))
-    name, length = F.col("employer_name"), F.length("description_text")
+    name, length = F.col("employer_name"), F.col("text_length")
     base = joined.select(
         "vacancy_id",
         "load_dt",
@@ -68,7 +72,7 @@ def risk_signals(
         "expected_risk_category",
         "description_text",
         _flag(F.col("employer_id").isNull() | name.isNull() | (name == "")).alias("risk_signal_missing_employer_info"),
-        _flag(F.col("description_text").isNull() | (length < MIN_TEXT_LENGTH)).alias(
+        _flag(length.isNull() | (length < MIN_TEXT_LENGTH)).alias(
             "risk_signal_vague_job_description"
         ),
         _flag(F.col("expected_risk_category").isin(*RISK_CATEGORIES)).alias("risk_signal_risk_domain_profile"),

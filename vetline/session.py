@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -37,8 +38,18 @@ def _own_root() -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a temporary one where the session names none (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_root()).rstrip("/")
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    A folder set on the context serves as well. Where there is neither, a local session (one process,
+    as in tests) gets a temporary folder; on a cluster every machine would write to its own disk, so
+    that is refused.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
