@@ -121,7 +121,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     )
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("double").alias("label")).dropna().groupBy("doc_id").agg(F.avg("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("label", "body").mapInArrow(_features, "label double, x array<float>").toArrow()
+    # an id that many rows repeat gives one row of the sample
+    once = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("mark", "body")).alias("row"))
+    sample = once.select("label", "row.body").mapInArrow(_features, "label double, x array<float>").toArrow()
     y = (sample.column(0).to_numpy() >= 0.5).astype(float)
     x = sample.column(1).combine_chunks().flatten().to_numpy().reshape(len(y), -1).astype(float) if len(y) else np.zeros((0, 0))
     model = spark.sparkContext.broadcast(Model(x, y))
