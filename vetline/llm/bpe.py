@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vetline.llm.kernels import prefix_sums, slices, window_hashes
+from vetline.llm.rowkeys import row_key
 from vetline.session import materialize
 
 WINDOW = 32
@@ -193,9 +194,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
     # an id need not be unique: id and text together are
-    rows = rows.withColumn("mark", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "body")).filter("mark is not null")
+    rows = rows.withColumn("mark", row_key("doc_id", "body"))
     chunks = materialize(
-        rows.select("doc_id", "mark", "body").mapInArrow(lambda it: _chunk_keys(it, chunk_bytes), "doc_id long, mark long, `from` long, until long, chunk binary"),
+        rows.select("doc_id", "mark", "body").mapInArrow(lambda it: _chunk_keys(it, chunk_bytes), "doc_id long, mark binary, `from` long, until long, chunk binary"),
         "chunks",
     )
     shared = chunks.groupBy("chunk").agg(F.count("*").alias("times"), F.min(F.struct("mark", "from")).alias("owner")).filter("times > 1")

@@ -38,6 +38,31 @@ def op10_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), percent=85).drop("mark")
 
 
+ORACLES["op10_minhash_bayes"] = r"""
+WITH RECURSIVE own AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS t
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) >= 5 THEN list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' '))
+                                      WHEN len(t) > 0 THEN [array_to_string(t, ' ')] ELSE [] END) AS g
+  FROM own
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)
+), reached(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+), least_reached AS (
+  SELECT x, min(y) AS y FROM reached GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id, least(doc_id, coalesce(y, doc_id)) = doc_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached ON x = doc_id
+"""
+
+
 @query
 def op8_suffix_two_stage(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"))
@@ -70,7 +95,28 @@ def op5_greedy_tiling(spark: SparkSession, folder: str) -> DataFrame:
 def op6_warc_shards(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), archives)
-    return warc.read_archives(spark, archives)
+    return warc.read_archives(spark, archives).drop("url")
+
+
+ORACLES["op6_warc_shards"] = """
+WITH bodies AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages
+), bits AS (
+  SELECT *, max(page_id) OVER (PARTITION BY sha) AS response,
+         list_aggregate(list_transform(string_split(sha, ''),
+             lambda c: substr('0000000100100011010001010110011110001001101010111100110111101111', (instr('0123456789abcdef', c) - 1) * 4 + 1, 4)),
+             'string_agg', '') AS b
+  FROM bodies
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32),
+           lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * cast(substr(b, 5 * i + 1, 1) AS int) + 8 * cast(substr(b, 5 * i + 2, 1) AS int)
+               + 4 * cast(substr(b, 5 * i + 3, 1) AS int) + 2 * cast(substr(b, 5 * i + 4, 1) AS int) + cast(substr(b, 5 * i + 5, 1) AS int), 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < response THEN response END AS refers_to
+FROM bits
+"""
 
 
 @query

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vetline.llm.kernels import mix64, prefix_sums, slices, window_hashes
+from vetline.llm.rowkeys import row_key
 from vetline.session import materialize
 
 GRAM = 160
@@ -283,9 +284,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", doc_i
     gram = min(GRAM, max(1, length // 2)) if gram is None else gram
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
     # an id need not be unique and rows may repeat: equal rows get the same spans, counted as often as they occur
-    rows = rows.withColumn("key", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "body"))
+    rows = rows.withColumn("key", row_key("doc_id", "body"))
     found = rows.filter(F.length("body") >= length).select("key", "body").mapInArrow(
-        lambda it: _find_regions(it, length, gram), "key long, anchor long, content long, start long, size int"
+        lambda it: _find_regions(it, length, gram), "key binary, anchor long, content long, start long, size int"
     )
     found = materialize(found, "regions")
     # per anchor value: how many regions, and whether they are of one class
@@ -302,7 +303,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", doc_i
     counts = classes.filter("mixed").groupBy("anchor").agg(F.count("*").alias("classes"))
     bodies = materialize(bodies.join(counts, "anchor"), "region_bytes")
     few = bodies.filter(F.col("classes") < sort_classes).select("anchor", "content", "body")
-    sorted_spans = few.repartition("anchor").sortWithinPartitions("anchor", "content").mapInArrow(
+    # sorting costs far more than its bytes suggest, so parts are not merged by size
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_spans = few.repartition(parts, "anchor").sortWithinPartitions("anchor", "content").mapInArrow(
         lambda it: _sort_groups(it, length), "anchor long, content long, `from` int, until int"
     )
     windows = (
