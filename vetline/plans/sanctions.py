@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetline.functions import date_prefix, normalize_name, person_name, safe_text
+from vetline.session import materialize
 
 SOURCE_LIST = "UN_SC_1267"
 TABLE_COLUMNS = {
@@ -49,7 +50,11 @@ def _children(rows: DataFrame, column: str, **fields: str) -> DataFrame:
 def flatten_sanctions(
     individuals: DataFrame, entities: DataFrame, load_timestamp: Column | None = None
 ) -> dict[str, DataFrame]:
-    """The four staging tables; each reads only the XML fields it needs."""
+    """The four staging tables, from one parse.
+
+    The rows of both element kinds are stored as they are parsed; each table reads the fields it needs there.
+    """
+    individuals, entities = materialize(individuals, "individuals"), materialize(entities, "entities")
     stamp = F.current_timestamp() if load_timestamp is None else load_timestamp
     tables = {
         "entities": _entity_rows(
