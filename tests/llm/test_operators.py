@@ -407,3 +407,12 @@ def test_bounds():
         assert (1 - threshold**rows) ** n <= minhash.MISS < (1 - threshold ** (rows + 1)) ** (minhash.HASHES // (rows + 1))
     least = [m / n for n, m in minhash.least_matches(0.85)]
     assert least == sorted(least) and least[-1] < 0.85
+
+
+def test_model_of_classes_far_apart():
+    """Separable classes and nearly constant columns: full Newton steps would run away."""
+    rng = np.random.default_rng(1)
+    y = (rng.random(4000) < 0.86).astype(float)
+    x = np.column_stack([np.where(y > 0, 0.0, rng.choice([0.2, 0.5], 4000)), rng.random((4000, 40)) * 1e-3, np.zeros((4000, 60)), np.where(rng.random(4000) < 0.001, 1.0, 0.0)])
+    evidence = quality.Model(x, y).evidence(x)
+    assert ((evidence > 0) == (y > 0)).mean() > 0.999

@@ -51,7 +51,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Logistic regression with standardised features, fitted by Newton steps with a ridge."""
+    """Logistic regression with standardised features, fitted by damped Newton steps with a ridge."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25):
         self.usable = len(y) > 0 and 0 < y.mean() < 1
@@ -59,15 +59,27 @@ class Model:
             return
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
         z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
-        beta = np.zeros(z.shape[1])
         penalty = np.full(z.shape[1], ridge)
-        penalty[-1] = 0
+        penalty[-1] = 1e-9
+
+        def loss(b: np.ndarray) -> float:
+            margin = z @ b
+            return float((np.logaddexp(0, margin) - y * margin).sum() + 0.5 * (penalty * b * b).sum())
+
+        beta = np.zeros(z.shape[1])
+        now = loss(beta)
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
             grad = z.T @ (p - y) + penalty * beta
-            step = np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(penalty + 1e-9), grad)
-            beta -= step
-            if np.abs(step).max() < 1e-6:
+            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), grad)
+            # a full step can overshoot where classes lie far apart: halve it until the loss falls
+            size = 1.0
+            while size > 1e-6 and not (after := loss(beta - size * step)) < now:
+                size /= 2
+            if size <= 1e-6:
+                break
+            beta, gained, now = beta - size * step, now - after, after
+            if gained < 1e-6 * max(now, 1.0):
                 break
         self.beta = beta
         self.prior = float(np.log(y.mean() / (1 - y.mean())))
