@@ -8,9 +8,8 @@ are confirmed on their full shingle sets, and links become components.
 A band's bucket does not yield all its pairs. Its first member is compared with all others, and the links so
 found are joined into components. Then only members of different components can still change anything. They
 are compared within tasks, bucket by bucket, on their signatures; what leaves a task is at most one row per
-member, which ties members with promising pairs into clusters. The texts of a cluster meet in a task, promising
-pairs are confirmed there, and pairs that links have joined meanwhile are skipped; again at most one row per
-member leaves. Large buckets and clusters are cut into tiles, and tiles meet in pairs, so that every pair meets.
+member, which ties members with promising pairs into clusters. The texts of a cluster meet in a task, which takes
+exact intersections of members that links have not joined meanwhile; again at most one row per member leaves. Large buckets and clusters are cut into tiles, and tiles meet in pairs, so that every pair meets.
 
 The number of rows in a band is the largest at which `hashes` values leave a true pair without a common
 band with a probability of at most `miss`.
@@ -206,25 +205,36 @@ def _cluster(batches: Iterator[pa.RecordBatch], stops: list[tuple[int, int]]) ->
         yield _pair_batch(pairs)
 
 
-def _confirm_clusters(batches: Iterator[pa.RecordBatch], words: int, percent: int, hashes: int, stops: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """Links between different labels, as many as it takes to join what is linked."""
-    seeds, shifts = _functions(hashes)
+def _confirm_clusters(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between different labels, as many as it takes to join what is linked.
+
+    A member's shingles are marked once, which gives its exact intersections with all others in one pass.
+    """
     for group in _groups(batches, ["node", "label", "body"]):
         nodes = np.array([g[0] for g in group])
         sets = [s for _, _, data, offsets in slices(pa.array([g[2] for g in group], pa.binary())) for s in shingle_sets(data, offsets, words)]
-        codes = np.stack([_code(signatures(own, seeds, shifts)) for own in sets])
+        sizes = np.array([len(own) for own in sets])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
         root = np.unique([g[1] for g in group], return_inverse=True)[1]
+        marked = np.zeros(int(numbers.max()) + 1, np.int64)
         pairs = []
         for i in range(len(nodes) - 1):
-            others = np.flatnonzero(root != root[i])
-            for j in _promising(codes, i, others[others > i], stops).tolist():
-                if root[j] != root[i] and _linked(sets[i], sets[j], percent):
+            if (root[i + 1 :] == root[i]).all():
+                continue
+            own = numbers[starts[i] : starts[i + 1]]
+            marked[own] = 1
+            common = np.add.reduceat(marked[numbers[starts[i + 1] :]], starts[i + 1 : -1] - starts[i + 1])
+            marked[own] = 0
+            linked = 100 * common >= percent * (sizes[i] + sizes[i + 1 :] - common)
+            for j in (np.flatnonzero(linked) + i + 1).tolist():
+                if root[j] != root[i]:
                     root[root == root[j]] = root[i]
                     pairs.append((int(nodes[i]), int(nodes[j])))
         yield _pair_batch(pairs)
 
 
-def _links_between(members: DataFrame, labels: DataFrame, codes: DataFrame, texts: DataFrame, words: int, percent: int, hashes: int, stops: list) -> DataFrame:
+def _links_between(members: DataFrame, labels: DataFrame, codes: DataFrame, texts: DataFrame, words: int, percent: int, stops: list) -> DataFrame:
     """The links that join different components and share a bucket."""
     named = members.select("band", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
@@ -235,7 +245,7 @@ def _links_between(members: DataFrame, labels: DataFrame, codes: DataFrame, text
     rows = clusters.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(texts.join(codes.select("node", "mark"), ["node", "mark"]), "node")
     tiles = rows.groupBy("cluster").agg(F.ceil(F.sum(F.length("body") + 1) / TILE_BYTES).alias("tiles"))
     met = _tiled(rows.join(tiles, "cluster").select("cluster", "node", "label", "body", "tiles"), "cluster", "tiles").select("cluster", "one", "other", "node", "label", "body")
-    return materialize(met.mapInArrow(lambda it: _confirm_clusters(it, words, percent, hashes, stops), "a long, b long"), "more_links")
+    return materialize(met.mapInArrow(lambda it: _confirm_clusters(it, words, percent), "a long, b long"), "more_links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", doc_id: str = "doc_id", hashes: int = HASHES, miss: float = MISS) -> DataFrame:
@@ -271,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: st
     tried = members.filter("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(tried, codes, texts, words, percent, stops)
     labels = materialize(components(links), "labels")
-    more = _links_between(members, labels, codes, texts, words, percent, hashes, stops)
+    more = _links_between(members, labels, codes, texts, words, percent, stops)
     final = components(links.union(more))
     grouped = signed.select("doc_id", "mark", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(final, "node", "left")
     return grouped.select("doc_id", "mark", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id")).withColumn(
