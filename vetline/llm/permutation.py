@@ -134,7 +134,8 @@ def nearest(table: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, vect
     drawn = sample.column("v").combine_chunks().filter(pa.array(sizes == width)).flatten().to_numpy() if len(sizes) else np.zeros(0)
     held = spark.sparkContext.broadcast(choose_pivots(drawn.reshape(-1, width), pivots))
     shards = max(1, -(-rows.count() // shard_rows))
-    index = rows.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"), F.lit(False).alias("query"), "vec_id", "v")
+    # by place, not by content: rows that are often repeated spread over all shards
+    index = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"), F.lit(False).alias("query"), "vec_id", "v")
     asking = rows.filter(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = asking.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(True).alias("query"), "vec_id", "v")
     ordered = index.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "query")
