@@ -211,6 +211,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
         rows.join(owned, "mark").select("body", "owned").mapInArrow(lambda it: _encode_chunks(it, path), "chunk binary, ids binary").dropDuplicates(["chunk"]),
         "chunk_ids",
     )
-    given = uses.join(published, "chunk").groupBy("mark").agg(F.collect_list(F.struct("from", "until", "ids")).alias("pieces"))
+    # a set: rows that repeat id and text bring the same pieces
+    given = uses.join(published, "chunk").groupBy("mark").agg(F.collect_set(F.struct("from", "until", "ids")).alias("pieces"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
     return rows.join(given, "mark", "left").select("doc_id", "body", "pieces").mapInArrow(lambda it: _encode_texts(it, path, keep_ids), schema)

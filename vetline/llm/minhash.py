@@ -243,6 +243,7 @@ def _links_between(members: DataFrame, labels: DataFrame, codes: DataFrame, text
     edges = materialize(tied.mapInArrow(lambda it: _cluster(it, stops), "a long, b long").distinct(), "tied")
     clusters = materialize(components(edges).withColumnRenamed("label", "cluster"), "clusters")
     rows = clusters.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(texts.join(codes.select("node", "mark"), ["node", "mark"]), "node")
+    rows = rows.dropDuplicates(["node", "mark"])  # rows may repeat id and text
     tiles = rows.groupBy("cluster").agg(F.ceil(F.sum(F.length("body") + 1) / TILE_BYTES).alias("tiles"))
     met = _tiled(rows.join(tiles, "cluster").select("cluster", "node", "label", "body", "tiles"), "cluster", "tiles").select("cluster", "one", "other", "node", "label", "body")
     return materialize(met.mapInArrow(lambda it: _confirm_clusters(it, words, percent), "a long, b long"), "more_links")
