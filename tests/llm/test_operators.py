@@ -291,6 +291,17 @@ def test_ppm_scores(spark, docs, rows, support):
     assert sum(10 ** model.symbol(b"the", s) for s in range(256)) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("common", [22, 9])
+def test_ppm_counts_rare_strings_of_large_texts(spark, common):
+    """Three million bytes of one sentence: strings that occur once or twice are under 1 / 2**20 of them."""
+    held = [i for i in range(200) if plain.held_out(i)]
+    texts = {i: "the same words over and over " * 500 for i in range(240) if i not in held}
+    texts |= {i: f"quartz {i} jumbo vex " * (1 + i % 3) for i in [*range(300, 312), *held[:6]]}
+    model = plain.Ppm([t for i, t in texts.items() if not plain.held_out(i)], 3, 0.0)
+    found = {r.doc_id: r.score for r in ppm.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), order=3, common=common).collect()}
+    assert all(found[i] == pytest.approx(model.text(t)) for i, t in texts.items() if len(t) < 3000)
+
+
 # -- suffixes
 
 

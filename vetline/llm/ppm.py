@@ -1,15 +1,16 @@
-"""Language-model scoring by prediction with partial matching, over bytes, with a pretrained context trie.
+"""Language-model scoring by prediction with partial matching, over bytes, with counts of all contexts.
 
 Training texts give, in one pass, the counts of all byte strings of ORDER + 1 bytes (shorter contexts are
 sums of these) and of all words. A text is its bytes with A-Z lower-cased, after ORDER start marks and
 before one end mark; the mark is 0xFF, which UTF-8 never uses.
 
-The trie keeps every string that makes up at least 1 / 2**SUPPORT of the training bytes, whatever their
-number. So it has at most 2**SUPPORT strings of each length, which bounds what is broadcast; a string that
-is kept has all its endings kept. A context escapes as often as it has symbols (method C) plus as often as
-training saw it before strings that were not kept. The symbols of a context are excluded from shorter ones.
+All counts are kept, however rare the string, and stored. A context escapes as often as it has symbols (method
+C), and the symbols of a context are excluded from shorter ones. What a symbol costs depends on its string of
+ORDER + 1 bytes alone. Strings that make up at least 1 / 2**COMMON of the training bytes are broadcast with
+their costs (so at most 2**COMMON of them); all others, seen or not, are looked up by a join of the distinct
+strings of each text. The share says which way a string goes and changes no score.
 
-Word counts have no bound. Words that make up at least 1 / 2**SUPPORT of the training tokens are broadcast
+Word counts have no bound either. Words that make up at least 1 / 2**SUPPORT of the training tokens are broadcast
 (again at most 2**SUPPORT); all others are looked up by a join. Words are told apart by a 64-bit hash.
 
 Null texts count as empty: one end token, one end mark. A null id is in training if crc32 of "" says so.
@@ -31,6 +32,7 @@ from vetline.session import materialize
 
 ORDER = 5
 SUPPORT = 20
+COMMON = 22
 MARK = 0xFF
 END_TOKEN = np.uint64(0)
 ALPHA = 0.1
@@ -58,7 +60,7 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values = keys, values
-        bits = min(21, max(8, int(np.ceil(np.log2(max(len(keys), 1)))) + 2))
+        bits = min(22, max(8, int(np.ceil(np.log2(max(len(keys), 1)))) + 2))
         self.shift = np.uint64(64 - bits)
         self.slot_keys = np.zeros(1 << bits, np.uint64)
         self.slot_values = np.full(1 << bits, np.nan)
@@ -84,64 +86,46 @@ class Lookup:
         return out
 
 
-class Trie:
-    """Code lengths of strings of order + 1 bytes under the kept counts (by length, sorted keys and counts)."""
-
-    def __init__(self, grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int):
-        self.order = order
-        self.counts = [Lookup(*grams[d + 1]) for d in range(order + 1)]
-        self.contexts: list[np.ndarray] = []
-        self.totals, self.symbols, self.hidden, self.lost = [], [], [], []
-        for d in range(order + 1):
-            keys, counts = grams[d + 1]
-            contexts, inverse = np.unique(keys >> np.uint64(8), return_inverse=True)
-            self.contexts.append(contexts)
-            self.totals.append(np.bincount(inverse, counts, len(contexts)))
-            self.symbols.append(np.bincount(inverse, minlength=len(contexts)).astype(float))
-            if d:  # what the symbols of a context weigh in the next shorter one
-                shorter = self.counts[d - 1].exact(keys & np.uint64((1 << 8 * d) - 1), 0.0)
-                self.hidden.append(np.bincount(inverse, shorter, len(contexts)))
-                self.lost.append(np.maximum(self.counts[d - 1].exact(contexts, 0.0) - self.totals[d], 0))
-            else:
-                self.hidden.append(np.zeros(len(contexts)))
-                self.lost.append(np.zeros(len(contexts)))
-        top = grams[order + 1][0]
-        self.known = Lookup(top, self.slow(top))
-
-    def slow(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol after its context, from the longest kept context down."""
-        out = np.zeros(len(codes))
-        todo = np.arange(len(codes))
-        hidden_n, hidden_q = np.zeros(len(codes)), np.zeros(len(codes))
-        for d in range(self.order, -1, -1):
-            own = codes[todo] & np.uint64((1 << 8 * (d + 1)) - 1)
-            context = own >> np.uint64(8)
-            known = self.contexts[d]
-            at = np.minimum(np.searchsorted(known, context), max(len(known) - 1, 0))
-            here = known[at] == context if len(known) else np.zeros(len(own), bool)
-            at, rows = at[here], todo[here]
-            n = self.totals[d][at] - hidden_n[rows]
-            q = self.symbols[d][at] - hidden_q[rows]
-            escapes = q + self.lost[d][at]
-            count = self.counts[d].exact(own[here], 0.0)
-            hit = count > 0
-            with np.errstate(divide="ignore", invalid="ignore"):
-                out[rows[hit]] += np.log10(count[hit] / (n[hit] + escapes[hit]))
-                left = ~hit & (escapes > 0)
-                out[rows[left]] += np.log10(escapes[left] / (n[left] + escapes[left]))
-            hidden_n[rows], hidden_q[rows] = self.hidden[d][at], self.symbols[d][at]
-            done = np.zeros(len(codes), bool)
-            done[rows[hit]] = True
-            todo = todo[~done[todo]]
-        out[todo] -= np.log10(256 - hidden_q[todo])
-        return out
+def _contexts(grams: DataFrame) -> DataFrame:
+    """Each context before strings of a length: what follows it in all, how many symbols, what these weigh in the
+    next shorter context (hidden), and how often it stood before strings that were left out (lost)."""
+    shorter = grams.select((F.col("length") + 1).alias("length"), F.col("key").alias("ending"), F.col("n").alias("weight"))
+    ending = F.col("key").bitwiseAND(F.expr("shiftleft(1L, 8 * (length - 1)) - 1"))
+    weighed = grams.withColumn("ending", ending).join(shorter, ["length", "ending"], "left")
+    followed = weighed.groupBy("length", F.expr("shiftright(key, 8)").alias("context")).agg(
+        F.sum("n").cast("double").alias("total"), F.count("*").cast("double").alias("symbols"), F.sum(F.coalesce("weight", F.lit(0))).cast("double").alias("hidden")
+    )
+    lost = F.greatest(F.coalesce("weight", F.lit(0)) - F.col("total"), F.lit(0.0))
+    return followed.join(shorter.withColumnRenamed("ending", "context"), ["length", "context"], "left").withColumn("lost", lost).drop("weight")
 
-    def __call__(self, codes: np.ndarray) -> np.ndarray:
-        out = self.known.fast(codes)
-        open_ = np.flatnonzero(np.isnan(out))
-        distinct, inverse = np.unique(codes[open_], return_inverse=True)
-        out[open_] = self.slow(distinct)[inverse]
-        return out
+
+_WALK = """aggregate(levels, named_struct('cost', 0D, 'n', 0D, 'q', 0D, 'done', false), (a, x) -> CASE
+    WHEN a.done OR x.total IS NULL THEN a
+    ELSE named_struct(
+        'cost', a.cost + CASE
+            WHEN x.n > 0 THEN log10(x.n / (x.total - a.n + x.symbols - a.q + x.lost))
+            WHEN x.symbols - a.q + x.lost > 0 THEN log10((x.symbols - a.q + x.lost) / (x.total - a.n + x.symbols - a.q + x.lost))
+            ELSE 0D END,
+        'n', x.hidden, 'q', x.symbols, 'done', x.n > 0)
+    END, a -> IF(a.done, a.cost, a.cost - log10(256 - a.q)))"""
+
+
+def _unseen(keys: DataFrame, grams: DataFrame, contexts: DataFrame, order: int) -> DataFrame:
+    """key, cost: log10 probability of each symbol after its context, from the longest context down."""
+
+    def levels(lengths: list[int], small: bool) -> DataFrame:
+        own = F.explode(F.array(*[F.struct(F.lit(k).alias("length"), F.col("key").bitwiseAND((1 << 8 * k) - 1).alias("own")) for k in lengths]))
+        asked = keys.select("key", own.alias("o")).select("key", "o.length", "o.own", F.expr("shiftright(o.own, 8)").alias("context"))
+        held = [t.filter(F.col("length").isin(lengths)) for t in (grams.withColumnRenamed("key", "own"), contexts)]
+        counts, stats = (F.broadcast(t) for t in held) if small else held
+        return asked.join(counts, ["length", "own"], "left").join(stats, ["length", "context"], "left")
+
+    # strings of one or two bytes are few, and every key asks for them
+    found = levels([k for k in (1, 2) if k <= order + 1], True)
+    if order > 1:
+        found = found.unionByName(levels(list(range(3, order + 2)), False))
+    level = F.struct((-F.col("length")).alias("at"), F.coalesce(F.col("n").cast("double"), F.lit(0.0)).alias("n"), "total", "symbols", "hidden", "lost")
+    return found.groupBy("key").agg(F.sort_array(F.collect_list(level)).alias("levels")).select("key", F.expr(_WALK).alias("cost"))
 
 
 def _count(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
@@ -181,14 +165,24 @@ def _count(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
         yield from rows(kind)
 
 
-def _score(batches: Iterator[pa.RecordBatch], trie, frequent, ends_seen: int, tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], costs, frequent, order: int, ends_seen: int, tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
     floor, total = ALPHA, tokens + ALPHA * (kinds + 1)
-    model, common = trie.value, frequent.value
+    model, common = costs.value, frequent.value
     for batch in batches:
         for lo, hi, data, offsets in slices(batch.column(2)):
             data = LOWER[data]
-            codes, begins = gram_codes(data, offsets, model.order)
-            scores = np.add.reduceat(model(codes), begins[:-1])
+            codes, begins = gram_codes(data, offsets, order)
+            cost = model(codes, np.nan)
+            open_ = np.flatnonzero(np.isnan(cost))
+            cost[open_] = 0.0
+            scores = np.add.reduceat(cost, begins[:-1])
+            texts, strings = np.searchsorted(begins, open_, "right") - 1, codes[open_]
+            at = np.lexsort((strings, texts))
+            texts, strings = texts[at], strings[at]
+            new = np.flatnonzero(np.concatenate([[True], (texts[1:] != texts[:-1]) | (strings[1:] != strings[:-1])])[: len(at)])
+            times = np.diff(np.append(new, len(at)))
+            gram_edges = np.searchsorted(texts[new], np.arange(hi - lo + 1)).astype(np.int32)
+            asked = pa.StructArray.from_arrays([pa.array(strings[new].view(np.int64)), pa.array(times)], ["key", "times"])
             starts, ends, first = words(data, offsets)
             hashes = word_hashes(data, starts, ends)
             counts = common(hashes, 0.0)
@@ -208,16 +202,18 @@ def _score(batches: Iterator[pa.RecordBatch], trie, frequent, ends_seen: int, to
                     pa.array(base),
                     pa.array(scores),
                     pa.ListArray.from_arrays(pa.array(edges), pa.array(rare)),
+                    pa.ListArray.from_arrays(pa.array(gram_edges), asked),
                 ],
-                ["doc_id", "held_out", "n_tokens", "n_common", "base_common", "score", "rare"],
+                ["doc_id", "held_out", "n_tokens", "n_common", "base_common", "score_common", "rare", "strings"],
             )
 
 
-def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: int = ORDER, support: int = SUPPORT) -> DataFrame:
+def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: int = ORDER, support: int | None = None, common: int = COMMON) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     held_out: crc32 of the id as text is 0 modulo 10; all others are learnt from. score is the log10
-    probability of the text under the trie; base_score that of its words and its end under smoothed counts.
+    probability of the text under all counts; base_score that of its words and its end under smoothed counts.
+    A smaller model has to be asked for: `support` leaves out strings under 1 / 2**support of the training bytes.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -233,23 +229,28 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: in
     ends_seen = counts.filter((F.col("kind") == 0) & (F.col("key") == int(END_TOKEN))).agg(F.sum("n")).first()[0] or 0
     lengths = F.explode(F.array(*[F.struct(F.lit(k).alias("length"), F.col("key").bitwiseAND((1 << 8 * k) - 1).alias("key")) for k in range(1, order + 2)]))
     grams = counts.filter("kind = 1").select(lengths.alias("g"), "n").groupBy("g.length", "g.key").agg(F.sum("n").alias("n"))
-    # at most 2**support rows of each length can reach the share; so for words
-    kept = grams.filter(F.col("n") >= symbols / 2**support).toArrow()
-    frequent = counts.filter((F.col("kind") == 0) & (F.col("n") >= tokens / 2**support)).select("key", "n").toArrow()
+    if support is not None:
+        grams = grams.filter(F.col("n") >= symbols / 2**support)
+    grams = materialize(grams, "grams")
+    contexts = materialize(_contexts(grams), "contexts")
+    whole = grams.filter(F.col("length") == order + 1).withColumn("context", F.expr("shiftright(key, 8)"))
+    cost = F.log10(F.col("n") / (F.col("total") + F.col("symbols") + F.col("lost")))
+    known = materialize(whole.join(contexts, ["length", "context"]).select("key", "n", cost.alias("cost")), "known")
+    # shares bound what is broadcast: at most as many rows can reach them
+    frequent_share = 2.0 ** -(SUPPORT if support is None else support)
+    frequent = counts.filter((F.col("kind") == 0) & (F.col("n") >= tokens * frequent_share)).select("key", "n").toArrow()
+    held = known.filter(F.col("n") >= symbols / 2**common).select("key", "cost").toArrow()
 
     def ordered(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = keys.view(np.uint64)
         at = np.argsort(keys)
         return keys[at], values[at].astype(float)
 
-    length, key, n = (kept.column(i).to_numpy() for i in range(3))
-    trie = Trie({k: ordered(key[length == k], n[length == k]) for k in range(1, order + 2)}, order)
-    common = Lookup(*ordered(*(frequent.column(i).to_numpy() for i in range(2))))
-    trie, common = spark.sparkContext.broadcast(trie), spark.sparkContext.broadcast(common)
+    costs, words_seen = (spark.sparkContext.broadcast(Lookup(*ordered(*(t.column(i).to_numpy() for i in range(2))))) for t in (held, frequent))
     scored = materialize(
         rows.mapInArrow(
-            lambda it: _score(it, trie, common, ends_seen, tokens, kinds),
-            "doc_id long, held_out boolean, n_tokens long, n_common long, base_common double, score double, rare array<long>",
+            lambda it: _score(it, costs, words_seen, order, ends_seen, tokens, kinds),
+            "doc_id long, held_out boolean, n_tokens long, n_common long, base_common double, score_common double, rare array<long>, strings array<struct<key: long, times: long>>",
         ).withColumn("row", F.monotonically_increasing_id()),
         "scored",
     )
@@ -257,13 +258,17 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", order: in
     found = rare.join(counts.filter("kind = 0").select("key", "n"), "key", "left")
     share = F.log10((F.coalesce("n", F.lit(0)) + ALPHA) / F.lit(tokens + ALPHA * (kinds + 1)))
     added = found.groupBy("row").agg(F.sum(share).alias("base_rare"), F.count("n").alias("n_rare"))
+    strings = scored.select("row", F.explode("strings").alias("s")).select("row", "s.key", "s.times")
+    unseen = materialize(strings.select("key").distinct().join(known, "key", "left_anti"), "unseen")
+    table = known.select("key", "cost").unionByName(_unseen(unseen, grams, contexts, order))
+    spelt = strings.join(table, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("cost")).alias("score_rare"))
     zero = F.lit(0)
-    return scored.join(added, "row", "left").select(
+    return scored.join(added, "row", "left").join(spelt, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_common") + F.coalesce("n_rare", zero)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base_common") + F.coalesce("base_rare", zero)).alias("base_score"),
-        "score",
+        (F.col("score_common") + F.coalesce("score_rare", zero)).alias("score"),
     )
