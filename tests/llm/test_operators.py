@@ -88,6 +88,28 @@ def test_nearest_recall(spark):
     assert hits >= 0.9 * total
 
 
+def recall(spark, vectors, **options):
+    """Share of the true five, ties to smaller ids, of every 50th vector."""
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(4)
+    found = permutation.nearest(table, **options).toPandas()
+    held = vectors.astype(np.float32).astype(np.float64)
+    held, copies = np.unique(held, axis=0, return_inverse=True)
+    unit = held / np.linalg.norm(held, axis=1, keepdims=True)
+    hits = total = 0
+    for q in range(0, len(vectors), 50):
+        scores = (unit @ unit[copies[q]])[copies]
+        scores[q] = -9
+        best = set(np.lexsort((np.arange(len(scores)), -scores))[:5].tolist())
+        hits, total = hits + len(best & set(found[found.query_id == q].vec_id)), total + 5
+    return hits / total
+
+
+def test_nearest_copies(spark):
+    vectors = np.random.default_rng(1).normal(size=(3000, 32))
+    vectors[::3] = vectors[0]  # a third are equal
+    assert recall(spark, vectors, shard_rows=1000, prefix=64, pivots=256) >= 0.95
+
+
 def test_nearest_awkward(spark):
     table = spark.createDataFrame(
         [(50, [1.0, 0.0]), (100, None), (150, [0.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, float("nan")]), (3, [1.0, 0.0, 0.0]), (None, [1.0, 1.0]), (4, [0.0, 1.0]), (5, [None, 1.0]), (6, [float("inf"), 1.0])],

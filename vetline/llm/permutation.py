@@ -4,10 +4,14 @@ A vector is represented by its `prefix` nearest pivots in order. The index is cu
 `shard_rows` vectors, whatever their number; each shard keeps an inverted file per pivot, which posts the
 vectors that have this pivot among their nearest together with its place. A query goes to every shard; there it
 scans the files of its own nearest pivots, and what it reads adds up to the footrule distance of the two
-orders (pivots missing from an order stand at its end). The closest `examine` share of the shard by footrule is
-ranked again by exact cosine in double precision. Only each shard's k best per query leave the shard.
+orders (pivots missing from an order stand at its end). The closest `examine` share of the shard by footrule, and
+all that tie with the last of them, are ranked again by exact cosine in double precision. Only each shard's k best
+per query leave the shard.
 
-Pivots are drawn from the vectors with the smallest hash of their id, at most PIVOT_SAMPLE of them; one that is
+Equal vectors are indexed once, with their k + 1 smallest ids and how often each occurs (k at most): one more than a
+query can return, as its own id is left out. A hit is expanded to these ids.
+
+Pivots are drawn from the distinct vectors with the smallest hash, at most PIVOT_SAMPLE of them; one that is
 too close to a pivot chosen before is passed over, so that copies of one vector do not use up the pivots. The
 sample is for the pivots only: every vector is indexed.
 
@@ -23,7 +27,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIVOTS = 512
@@ -60,9 +64,9 @@ def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndar
 class Shard:
     """The inverted files of one shard, and its vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+    def __init__(self, ids: np.ndarray, times: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
+        """Each distinct vector has a row of ascending ids and of how often they occur, 0 where there are fewer ids."""
+        self.ids, self.times, self.vectors = ids, times, vectors
         self.norms = np.linalg.norm(self.vectors, axis=1)
         self.pivots, self.prefix = pivots, min(prefix, len(pivots))
         ranks = np.concatenate([nearest_pivots(self.vectors[i : i + _BLOCK] / self.norms[i : i + _BLOCK, None], pivots, self.prefix) for i in range(0, len(ids), _BLOCK)])
@@ -80,14 +84,18 @@ class Shard:
             a, b = self.edges[pivot], self.edges[pivot + 1]
             # |place - other| in place of both pivots' distance to the end: footrule = constant - 2 * shared
             shared[self.rows[a:b]] += self.prefix - np.maximum(self.places[a:b], place)
-        own = self.ids == query_id
+        asks = self.ids[:, 0] == query_id
+        own = asks & (self.times[:, 1] == 0)
         shared[own] = -1
         n = min(len(self.ids), max(int(np.ceil(examine * len(self.ids))), 16 * k))
-        rows = np.argpartition(-shared, n - 1)[:n] if n < len(self.ids) else np.arange(len(self.ids))
-        rows = rows[~own[rows]]
+        rows = np.flatnonzero((shared >= -np.partition(-shared, n - 1)[n - 1]) & ~own)
         cosines = (self.vectors[rows] @ vector) / (self.norms[rows] * np.linalg.norm(vector))
-        best = np.lexsort((self.ids[rows], -cosines))[:k]
-        return self.ids[rows[best]], cosines[best]
+        best = np.lexsort((np.where(asks[rows], self.ids[rows, 1], self.ids[rows, 0]), -cosines))[:k]
+        ids, times = self.ids[rows[best]], self.times[rows[best]]
+        times = np.where(ids == query_id, 0, times).ravel()
+        ids, cosines = np.repeat(ids.ravel(), times), np.repeat(np.repeat(cosines[best], self.ids.shape[1]), times)
+        best = np.lexsort((ids, -cosines))[:k]
+        return ids[best], cosines[best]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -99,6 +107,7 @@ def _search(batches: Iterator[pa.RecordBatch], pivots, prefix: int, k: int, exam
     number, held, shard = None, [], None
     for batch in batches:
         shards, is_query, ids, matrix = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(), _matrix(batch.column(3))
+        copies, times = _matrix(batch.column(4)), _matrix(batch.column(5))
         found = []
         edges = np.flatnonzero((np.diff(shards) != 0) | (np.diff(is_query.astype(np.int8)) != 0)) + 1
         for a, b in pairwise([0, *edges.tolist(), len(ids)]):
@@ -107,7 +116,7 @@ def _search(batches: Iterator[pa.RecordBatch], pivots, prefix: int, k: int, exam
             if shards[a] != number:
                 number, held, shard = shards[a], [], None
             if not is_query[a]:
-                held.append((ids[a:b].copy(), matrix[a:b].astype(np.float64)))
+                held.append((copies[a:b].copy(), times[a:b].copy(), matrix[a:b].astype(np.float64)))
                 continue
             if shard is None and held:
                 shard, held = Shard(*(np.concatenate(x) for x in zip(*held, strict=True)), pivots.value, prefix), []
@@ -127,17 +136,26 @@ def nearest(table: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, vect
     spark = table.sparkSession
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
     rows = rows.filter("vec_id is not null and v is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).select(F.size("v").alias("size"), F.col("v").cast("array<double>").alias("v")).toArrow()
-    sizes = sample.column("size").to_numpy()
-    width = int(np.bincount(sizes).argmax()) if len(sizes) else 1
+    sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("v")).alias("vectors"))
+    most = sizes.orderBy(F.desc("n"), "size").first()
+    width, vectors = (most["size"], most["vectors"]) if most else (1, 0)
     rows = rows.filter(F.size("v") == width)
-    drawn = sample.column("v").combine_chunks().filter(pa.array(sizes == width)).flatten().to_numpy() if len(sizes) else np.zeros(0)
+    # distinct vectors by hash, so that copies do not fill the sample
+    thinned = rows.select("v", F.xxhash64("v").alias("hash")).filter(F.pmod("hash", F.lit(max(1, vectors // (4 * PIVOT_SAMPLE)))) == 0)
+    sample = thinned.distinct().orderBy("hash").limit(PIVOT_SAMPLE).select(F.col("v").cast("array<double>").alias("v")).toArrow()
+    drawn = sample.column("v").combine_chunks().flatten().to_numpy()
     held = spark.sparkContext.broadcast(choose_pivots(drawn.reshape(-1, width), pivots))
-    shards = max(1, -(-rows.count() // shard_rows))
-    # by place, not by content: rows that are often repeated spread over all shards
-    index = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"), F.lit(False).alias("query"), "vec_id", "v")
+    shards = max(1, -(-vectors // shard_rows))
+    smallest = Window.partitionBy("v").orderBy("vec_id")
+    copies = rows.groupBy("v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("times")).withColumn("at", F.row_number().over(smallest)).filter(F.col("at") <= k + 1)
+    distinct = copies.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("vec_id", "times"))).alias("held"))
+
+    def filled(values: str) -> Column:
+        return F.expr(f"concat({values}, array_repeat(0L, {k + 1} - size({values})))")
+
+    index = distinct.select(F.pmod(F.xxhash64("v"), F.lit(shards)).alias("shard"), F.lit(False).alias("query"), F.lit(0).cast("long").alias("vec_id"), "v", filled("held.vec_id").alias("ids"), filled("held.times").alias("times"))
     asking = rows.filter(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = asking.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(True).alias("query"), "vec_id", "v")
+    asked = asking.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(True).alias("query"), "vec_id", "v", F.array_repeat(F.lit(0).cast("long"), k + 1).alias("ids"), F.array_repeat(F.lit(0).cast("long"), k + 1).alias("times"))
     ordered = index.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "query")
     found = ordered.mapInArrow(lambda it: _search(it, held, prefix, k, examine), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
