@@ -110,6 +110,23 @@ def test_nearest_copies(spark):
     assert recall(spark, vectors, shard_rows=1000, prefix=64, pivots=256) >= 0.95
 
 
+def cone():
+    draw = np.random.default_rng(2)
+    return draw.normal(size=32) * 3 + draw.normal(size=(3000, 32)) * 0.5
+
+
+def clusters():
+    draw = np.random.default_rng(3)
+    centres = np.concatenate([np.zeros((1000, 32)), np.repeat(draw.normal(size=(4, 32)), 500, axis=0)])
+    return centres + draw.normal(size=(3000, 32)) * np.where(np.arange(3000) < 1000, 1, 0.05)[:, None]
+
+
+@pytest.mark.parametrize("made", [cone, clusters])
+def test_nearest_dense_vectors(spark, made):
+    vectors = made()
+    assert recall(spark, vectors[np.random.default_rng(4).permutation(len(vectors))], shard_rows=1000) >= 0.9
+
+
 def test_nearest_awkward(spark):
     table = spark.createDataFrame(
         [(50, [1.0, 0.0]), (100, None), (150, [0.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, float("nan")]), (3, [1.0, 0.0, 0.0]), (None, [1.0, 1.0]), (4, [0.0, 1.0]), (5, [None, 1.0]), (6, [float("inf"), 1.0])],

@@ -12,8 +12,8 @@ Equal vectors are indexed once, with their k + 1 smallest ids and how often each
 query can return, as its own id is left out. A hit is expanded to these ids.
 
 Pivots are drawn from the distinct vectors with the smallest hash, at most PIVOT_SAMPLE of them; one that is
-too close to a pivot chosen before is passed over, so that copies of one vector do not use up the pivots. The
-sample is for the pivots only: every vector is indexed.
+too close to a pivot chosen before is passed over, and taken after all if pivots are missing: vectors that all lie in
+one cone need pivots among them to be told apart. The sample is for the pivots only: every vector is indexed.
 
 Vectors that are null, zero or of another length than most, or hold null or non-finite values, take no part. Rows that repeat
 an id are candidates of their own; a query's own id is no candidate. Rows with a null id take no part. Equal
@@ -40,15 +40,20 @@ _BLOCK = 2048
 
 
 def choose_pivots(vectors: np.ndarray, n: int = PIVOTS, limit: float = PIVOT_COSINE) -> np.ndarray:
-    """Up to n unit vectors of which no two have a cosine above `limit` while others are left."""
+    """Up to n different unit vectors; those with a cosine above `limit` to one before come after all others."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    _, first = np.unique(unit, axis=0, return_index=True)
+    unit = unit[np.sort(first)]
     chosen: list[int] = []
+    passed: list[int] = []
     for i in range(len(unit)):
         if len(chosen) == n:
             break
         if not chosen or (unit[chosen] @ unit[i]).max() <= limit:
             chosen.append(i)
-    return unit[chosen] if len(chosen) else unit
+        else:
+            passed.append(i)
+    return unit[chosen + passed[: n - len(chosen)]]
 
 
 def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
