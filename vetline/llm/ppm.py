@@ -14,8 +14,8 @@ Word counts have no bound either. Words that make up at least 1 / 2**SUPPORT of
 (again at most 2**SUPPORT); all others are looked up by a join. Words are told apart by a 64-bit hash.
 
 Null texts count as empty: one end token, one end mark. A null id is in training if crc32 of "" says so.
-Repeated rows count and score as often as they occur. Without training text every symbol costs log10 257 or
-so and c = N = V = 0. An empty table gives no rows; other columns are not read.
+Repeated rows count and score as often as they occur. Without training text every symbol costs log10 256
+(the 255 bytes besides the mark and the end) and c = N = V = 0. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ COMMON = 22
 MARK = 0xFF
 END_TOKEN = np.uint64(0)
 ALPHA = 0.1
-MERGE_ROWS = 1 << 22
+#: a counting task holds so many keys of a kind, and looks at so many bytes at once
+HELD_KEYS = 1 << 20
+COUNT_BYTES = 1 << 19
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -128,41 +130,62 @@ def _unseen(keys: DataFrame, grams: DataFrame, contexts: DataFrame, order: int)
     return found.groupBy("key").agg(F.sort_array(F.collect_list(level)).alias("levels")).select("key", F.expr(_WALK).alias("cost"))
 
 
+class Tally:
+    """Counts of keys in sorted arrays of bounded size: what grows too large leaves as partial counts."""
+
+    def __init__(self, limit: int = HELD_KEYS):
+        self.limit = limit
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        keys, counts = np.unique(keys, return_counts=True)
+        at = np.searchsorted(self.keys, keys)
+        held = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        held[inside] = self.keys[at[inside]] == keys[inside]
+        self.counts[at[held]] += counts[held]
+        self.keys = np.insert(self.keys, at[~held], keys[~held])
+        self.counts = np.insert(self.counts, at[~held], counts[~held])
+
+    def spare(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """Over the limit, the rarer half of the keys with their counts, which are no longer held here."""
+        if len(self.keys) <= self.limit:
+            return None
+        gone = self.counts <= np.partition(self.counts, len(self.counts) // 2)[len(self.counts) // 2]
+        out = self.keys[gone], self.counts[gone]
+        self.keys, self.counts = self.keys[~gone], self.counts[~gone]
+        return out
+
+
 def _count(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {0: [], 1: []}
-
-    def merged(kind: int) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in held[kind]])
-        counts = np.concatenate([c for _, c in held[kind]])
-        at = np.argsort(keys, kind="stable")
-        keys, counts = keys[at], counts[at]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[first], np.add.reduceat(counts, first)
-
-    def rows(kind: int) -> Iterator[pa.RecordBatch]:
-        if held[kind]:
-            keys, counts = merged(kind)
-            for lo in range(0, len(keys), 1 << 16):
-                part = keys[lo : lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), kind, np.int32)), pa.array(part.view(np.int64)), pa.array(counts[lo : lo + (1 << 16)])], ["kind", "key", "n"]
-                )
-            held[kind] = []
+    tallies = (Tally(), Tally())
+
+    def rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(keys), 1 << 14):
+            part = keys[lo : lo + (1 << 14)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), kind, np.int32)), pa.array(part.view(np.int64)), pa.array(counts[lo : lo + (1 << 14)])], ["kind", "key", "n"]
+            )
 
+    texts = 0
     for batch in batches:
-        for _, _, data, offsets in slices(batch.column(0)):
+        texts += len(batch)
+        for _, _, data, offsets in slices(batch.column(0), COUNT_BYTES):
             data = LOWER[data]
             starts, ends, _ = words(data, offsets)
-            for kind, found in ((0, word_hashes(data, starts, ends)), (1, gram_codes(data, offsets, order)[0])):
-                held[kind].append(np.unique(found, return_counts=True))
-            held[0].append((np.array([END_TOKEN]), np.array([len(offsets) - 1])))
-            for kind in held:
-                if sum(len(k) for k, _ in held[kind]) > MERGE_ROWS:
-                    held[kind] = [merged(kind)]
-                    if len(held[kind][0][0]) > MERGE_ROWS // 2:
-                        yield from rows(kind)
-    for kind in held:
-        yield from rows(kind)
+            tallies[0].add(word_hashes(data, starts, ends))
+            # a single text can be far longer than a slice
+            codes = gram_codes(data, offsets, order)[0]
+            for lo in range(0, len(codes), COUNT_BYTES):
+                tallies[1].add(codes[lo : lo + COUNT_BYTES])
+                if (spare := tallies[1].spare()) is not None:
+                    yield from rows(1, *spare)
+            if (spare := tallies[0].spare()) is not None:
+                yield from rows(0, *spare)
+    if texts:
+        yield from rows(0, np.array([END_TOKEN]), np.array([texts]))
+    for kind, tally in enumerate(tallies):
+        yield from rows(kind, tally.keys, tally.counts)
 
 
 def _score(batches: Iterator[pa.RecordBatch], costs, frequent, order: int, ends_seen: int, tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
