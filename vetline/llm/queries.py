@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vetline.llm import bpe, lines, minhash, permutation, pii, ppm, quality, suffixes, tiling, warc
+from vetline.llm import bpe, conversations, lines, merkle, minhash, permutation, pii, ppm, quality, rules, suffixes, tiling, warc
 from vetline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,25 @@ def op1_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_pii_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
+
+
+@query
+def op12_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judge(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+@query
+def op13_merkle_windows(spark: SparkSession, folder: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(table(spark, folder, "documents"), changed={"text": lower}, changed_where=fifth).drop("source", "path")
+
+
+ORACLES["op13_merkle_windows"] = merkle.ORACLE
+
+
+@query
+def op11_conversation_dawg(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return conversations.repair(conversations.damage(rows), ids=rows)
