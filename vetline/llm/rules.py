@@ -34,6 +34,7 @@ THRESHOLD = 0.5
 PRIOR = 2.0
 ROUNDS = 60
 START = {"good": 0.75, "rule": 0.75}
+_GOOD, _BAD = "__good_weight", "__bad_weight"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -144,14 +145,14 @@ def fit(votes: DataFrame, names: list[str], rounds: int = ROUNDS, prior: float =
     good, right = START["good"], dict.fromkeys(names, (START["rule"], START["rule"]))
     for _ in range(rounds):
         p = _chance(_odds(good, right))
-        weighed = votes.select("*", (F.col("n") * p).alias("g"), (F.col("n") * (1 - p)).alias("b"))
-        sums = [F.sum("g").alias("good"), F.sum("b").alias("bad")]
+        weighed = votes.select("*", (F.col("n") * p).alias(_GOOD), (F.col("n") * (1 - p)).alias(_BAD))
+        sums = [F.sum(_GOOD).alias("good"), F.sum(_BAD).alias("bad")]
         for i, name in enumerate(names):
             sums += [
-                F.sum(F.when(F.col(name) > 0, F.col("g")).otherwise(0.0)).alias(f"gr{i}"),
-                F.sum(F.when(F.col(name) != 0, F.col("g")).otherwise(0.0)).alias(f"gv{i}"),
-                F.sum(F.when(F.col(name) < 0, F.col("b")).otherwise(0.0)).alias(f"br{i}"),
-                F.sum(F.when(F.col(name) != 0, F.col("b")).otherwise(0.0)).alias(f"bv{i}"),
+                F.sum(F.when(F.col(name) > 0, F.col(_GOOD)).otherwise(0.0)).alias(f"gr{i}"),
+                F.sum(F.when(F.col(name) != 0, F.col(_GOOD)).otherwise(0.0)).alias(f"gv{i}"),
+                F.sum(F.when(F.col(name) < 0, F.col(_BAD)).otherwise(0.0)).alias(f"br{i}"),
+                F.sum(F.when(F.col(name) != 0, F.col(_BAD)).otherwise(0.0)).alias(f"bv{i}"),
             ]
         found = weighed.agg(*sums).first()
         before, right = (good, right), {}
