@@ -188,13 +188,17 @@ def test_similarity_join_of_texts_that_grow_in_lower_case(spark):
 
 
 def test_similarity_join_emits_less_than_a_cross_product(spark):
-    from vetline.operators.similarity import _distinct_values, candidate_rows
+    from vetline.operators.similarity import _distinct_values, candidate_rows, gram_order, signed_values
 
     syllables = ["ka", "rim", "ov", "an", "der", "sen", "mo", "li", "ta", "ru"]
     text = lambda i: " ".join("".join(syllables[(i * k + k) % 10] for k in range(j, j + 3)) for j in (1, 3))
     probes = _distinct_values(spark.createDataFrame([(f"{text(i)} {i}",) for i in range(2000)], "a string"), "a", "left")
     listed = _distinct_values(spark.createDataFrame([(f"{text(i)} {i}",) for i in range(0, 6000, 15)], "b string"), "b", "right")
-    assert candidate_rows(probes, listed, 0.7).count() < probes.count() * listed.count() / 4
+    order = gram_order(listed)
+    sides = [signed_values(values, side, order, 0.7) for values, side in ((probes, "left"), (listed, "right"))]
+    assert candidate_rows(*sides, 0.7).count() < probes.count() * listed.count() / 20
+    # probes are signed where they lie
+    assert "Exchange" not in signed_values(spark.createDataFrame([("a b", 1)], "left_value string, left_hash long"), "left", order, 0.7)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_similarity_join_with_a_hot_name(spark):
@@ -205,3 +209,25 @@ def test_similarity_join_with_a_hot_name(spark):
     right = spark.createDataFrame([("karim banks",), ("karim bank",)], "b string")
     got = op.similarity_join(left, right, "a", "b", 0.7).groupBy("b").count()
     assert rows(got) == [("karim bank", 1000), ("karim banks", 1000)]
+
+
+@pytest.mark.parametrize("broadcast_limit", [0, 1 << 27])
+def test_pair_store_day_by_day_is_a_full_run(spark, tmp_path, broadcast_limit):
+    from vetline.operators.pairstore import PairStore
+
+    left, right = names(1, 120) + [None, ""], names(2, 90) + [None, "--"]
+    table = lambda values, c: spark.createDataFrame([(v,) for v in values], f"{c} string")
+    store = PairStore(spark, str(tmp_path / "pairs"), 0.5, broadcast_limit)
+    assert store.pairs().count() == 0
+    for days in ((50, 30), (50, 90), (122, 92), (122, 92)):
+        found = store.update(table(left[: days[0]], "a"), table(right[: days[1]], "b"), "a", "b")
+        full = op.similarity_join(table(left[: days[0]], "a").distinct(), table(right[: days[1]], "b").distinct(), "a", "b", 0.5)
+        assert rows(found.select("left_value", "right_value", F.round("score", 6))) == rows(full.select("a", "b", F.round("similarity_score", 6)))
+    assert store.last_batch() == 2  # nothing new, no batch
+    # a batch without its commit is not read, and is written anew
+    found.write.mode("overwrite").parquet(f"{store.path}/pairs/batch=3")
+    assert store.pairs().count() == found.count()
+    again = store.update(table(["some new name"], "a"), table(["some new names"], "b"), "a", "b")
+    assert store.last_batch() == 3 and again.count() >= found.count() + 1
+    everything = op.similarity_join(table([*left, "some new name"], "a").distinct(), table([*right, "some new names"], "b").distinct(), "a", "b", 0.5)
+    assert rows(again.select("left_value", "right_value")) == rows(everything.select("a", "b"))

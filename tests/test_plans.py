@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vetline.plans import jobs, risk, sanctions, screening
 from vetline.plans import vacancies as vac
 from vetline.plans.manifest import build_manifest, file_order
-from vetline.plans.profiles import DEFAULT_PROFILES, Profile, profiles_from_rows, tag_profiles
+from vetline.plans.profiles import DEFAULT_PROFILES, PROFILE_SCHEMA, Profile, profile_rows, tag_profiles
 from vetline.session import scratch_path
 from vetline.sources import jsonl, payloads, sinks
 from vetline.sources.store import KeyedStore
@@ -105,11 +105,45 @@ def test_profiles(spark):
     )
     got = tag_profiles(df, "text", DEFAULT_PROFILES)
     assert rows(got, "id", "search_profile") == [(1, "P5_scam_baits"), (2, "P2_crypto")]
-    config = spark.createDataFrame(
-        [("A", [["x"], ["y*"]], "c", True), ("B", [["x"]], "c", False), ("C", [["x"]], "c", None)],
-        "profile_id string, groups array<array<string>>, expected_risk_category string, enabled boolean",
+    config = spark.createDataFrame([("A", [["x"], ["y*"]], "c", True), ("B", [["x"]], "c", False), ("C", [["x"]], "c", None)], PROFILE_SCHEMA)
+    text = spark.createDataFrame([(1, "X, yes"), (2, "x")], "id int, text string")
+    assert rows(tag_profiles(text, "text", config), "id", "search_profile", "expected_risk_category") == [(1, "A", "c")]
+    assert rows(tag_profiles(text, "text", profile_rows(spark, [Profile("A", (("x",),), "c")])), "id") == [(1,), (2,)]
+    for nothing in ([], [("A", [[""]], "c", True)], [("A", [[], ["x"]], "c", True)], [("A", [], "c", True)], [("A", [["*"], ["x"]], "c", True)]):
+        assert tag_profiles(text, "text", spark.createDataFrame(nothing, PROFILE_SCHEMA)).count() == 0
+
+
+def _profile_pattern(terms):
+    """The terms of a group as one regular expression: whole words, an open ending for `*`."""
+    import re
+
+    words = [re.escape(t[:-1].lower()) + r"[^\W_]*" if t.endswith("*") else re.escape(t.lower()) for t in terms]
+    return re.compile(r"(?:^|[\W_])(?:" + "|".join(words) + r")(?:[\W_]|$)")
+
+
+def test_profiles_of_all_shapes_are_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    atoms = ["ab", "abc", "b", "c++", ".net", "на карту", "ab-c", "x y z", "c+", "d", "a1", "é"]
+    texts = ["".join(rng.choice(atoms) + rng.choice([" ", " ", ", ", "-", "  ", "", "\n"]) for _ in range(rng.randrange(0, 9))) for _ in range(120)]
+    texts += ["Ab", "AB c++", "c++x", "x.net", ".NET", "", " ", texts[5], texts[5]]
+    terms = [*atoms, "ab*", "b*", "c+*", "на к*", "x y*", "AB", "a*", "ab -", "- b"]
+    profiles = [(f"p{i}", [[rng.choice(terms) for _ in range(rng.randrange(1, 4))] for _ in range(rng.randrange(1, 4))], f"c{i % 3}", True) for i in range(150)]
+    table = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = rows(tag_profiles(table, "text", spark.createDataFrame(profiles, PROFILE_SCHEMA)), "id", "search_profile", "expected_risk_category")
+    want = [(i, name, category) for i, text in enumerate(texts) for name, groups, category, _ in profiles if all(_profile_pattern(g).search(text.lower()) for g in groups)]
+    assert sorted(got) == sorted(want)
+
+
+def test_ten_thousand_profiles_need_no_plan_of_their_own(spark):
+    profiles = spark.range(10_000).selectExpr(
+        "concat('p', id) AS profile_id", "array(array(concat('w', id)), array('common', concat('v', id, '*')))  AS groups", "'c' AS expected_risk_category", "true AS enabled"
     )
-    assert profiles_from_rows(config) == [Profile("A", (("x",), ("y*",)), "c")]
+    texts = spark.createDataFrame([(1, "w17 common w9999"), (2, "w18 v18x"), (3, "v17 common")], "id int, text string")
+    tagged = tag_profiles(texts, "text", profiles)
+    assert rows(tagged, "id", "search_profile") == [(1, "p17"), (1, "p9999"), (2, "p18")]
+    assert len(tagged._jdf.queryExecution().optimizedPlan().toString()) < 20_000
 
 
 LIST = [("1", "ADF/NALU"), ("1", "Allied Democratic Forces"), ("2", "FRANK KAKOLELE BWAMBALE"), ("3", "ADF NALU"), ("4", "--")]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vetline.catalog.records import EMPLOYERS, FLAT_VACANCY, SILVER_TEXT
 from vetline.catalog.registry import Data, query
 from vetline.catalog.scalars import ASCII, GRAMS, NORMAL
+from vetline.functions import status
 from vetline.plans import risk, sanctions, screening
 from vetline.plans import vacancies as vac
 from vetline.plans.profiles import Profile, enabled_profiles, tag_profiles
@@ -137,6 +138,25 @@ def profile_tagging(t: Data) -> DataFrame:
     return tagged.select("doc_id", "search_profile", "expected_risk_category")
 
 
+@query(
+    "profile_tagging_rows",
+    r"""WITH profiles AS (SELECT * FROM {search_profiles} WHERE enabled),
+             parts AS (SELECT doc_id, regexp_extract_all(lower(text), '[\pL\pN]+|[^\pL\pN]') AS t FROM {documents}),
+             places AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM parts),
+             words AS (SELECT DISTINCT doc_id, t[i] AS w FROM places WHERE regexp_matches(t[i], '^[\pL\pN]')),
+             phrases AS (SELECT DISTINCT doc_id, t[i] || ' ' || t[i + 2] AS phrase FROM places
+                         WHERE t[i + 1] = ' ' AND regexp_matches(t[i], '^[\pL\pN]') AND regexp_matches(t[i + 2], '^[\pL\pN]')),
+             first AS (SELECT DISTINCT doc_id, profile_id FROM (SELECT profile_id, unnest(one) AS w FROM profiles) JOIN words USING (w)),
+             second AS (SELECT doc_id, profile_id FROM profiles JOIN (SELECT DISTINCT doc_id, left(w, 7) AS ending FROM words WHERE length(w) >= 7) USING (ending)
+                        UNION SELECT doc_id, profile_id FROM profiles JOIN phrases USING (phrase))
+        SELECT doc_id, profile_id AS search_profile, expected_risk_category
+        FROM first JOIN second USING (doc_id, profile_id) JOIN profiles USING (profile_id)""",
+)
+def profile_tagging_rows(t: Data) -> DataFrame:
+    tagged = tag_profiles(t["documents"].select("doc_id", "text"), "text", t["search_profiles"])
+    return tagged.select("doc_id", "search_profile", "expected_risk_category")
+
+
 # --- screening ---------------------------------------------------------------------------------
 
 
@@ -222,16 +242,7 @@ def screen_fuzzy_best(t: Data) -> DataFrame:
 
 @query("dedup_pairs", BEST + f"SELECT {BEST_COLUMNS} FROM d")
 def dedup_pairs(t: Data) -> DataFrame:
-    names = screening._name_columns(_names(t))
-    from vetline.functions import normalize_name_ascii
-    from vetline.operators.similarity import similarity_join
-
-    wanted = t["screening_inputs"].select("input_name").distinct()
-    wanted = wanted.withColumn("normalized_input_name", normalize_name_ascii("input_name"))
-    matched = similarity_join(
-        wanted, names, "normalized_input_name", "matched_normalized_name", include_equal=True
-    )
-    return _rounded(screening.dedup_pairs(matched))
+    return _rounded(screening.dedup_pairs(screening.similar_names(t["screening_inputs"], _names(t))))
 
 
 @query("rank_candidates", BEST + "SELECT input_name, name_value AS matched_name, rn FROM r WHERE rn <= 3")
@@ -242,10 +253,8 @@ def rank_candidates(t: Data) -> DataFrame:
 
 @query("screening_verdict", BEST + f"SELECT screening_result, count(*) AS n FROM (SELECT {VERDICT} FROM d) GROUP BY 1")
 def screening_verdict(t: Data) -> DataFrame:
-    from vetline.functions import screening_verdict as verdict
-
     pairs = screening.fuzzy_pairs(t["screening_inputs"], _names(t))
-    result = verdict(F.col("normalized_input_name"), F.col("matched_normalized_name"), F.col("similarity_score"))
+    result = status.screening_verdict(F.col("normalized_input_name"), F.col("matched_normalized_name"), F.col("similarity_score"))
     return pairs.groupBy(result.alias("screening_result")).agg(F.count("*").alias("n"))
 
 

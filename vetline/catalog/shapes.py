@@ -222,4 +222,18 @@ SHAPES: dict[str, str | dict[str, str]] = {
                lower(c_mktsegment) AS expected_risk_category, (c_mktsegment <> 'HOUSEHOLD') AS enabled
         FROM {customer} GROUP BY c_mktsegment
     """,
+    # a profile per document, from its own longer words: (one or the other) and (a word ending or a phrase)
+    "search_profiles": {
+        "spark": r"""
+            SELECT concat('D', doc_id) AS profile_id,
+                   array(array(get(w, 0), get(w, 1)), array(concat(left(get(w, 2), 7), '*'), regexp_extract(lower(text), r'\pL+ \pL+', 0))) AS groups,
+                   source AS expected_risk_category, doc_id % 10 <> 0 AS enabled
+            FROM (SELECT *, regexp_extract_all(lower(text), r'\pL\pL\pL\pL\pL\pL\pL\pL+', 0) AS w FROM {documents}) WHERE size(w) > 2
+        """,
+        "duckdb": r"""
+            SELECT 'D' || doc_id AS profile_id, [w[1], w[2]] AS one, left(w[3], 7) AS ending,
+                   regexp_extract(lower(text), '\pL+ \pL+', 0) AS phrase, source AS expected_risk_category, doc_id % 10 <> 0 AS enabled
+            FROM (SELECT *, regexp_extract_all(lower(text), '\pL\pL\pL\pL\pL\pL\pL\pL+') AS w FROM {documents}) WHERE len(w) > 2
+        """,
+    },
 }

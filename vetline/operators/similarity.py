@@ -1,17 +1,19 @@
 """Exact trigram-similarity join without a cross product.
 
-Trigrams have one order: those that no listed value holds come first, then the rarest in the list. For a
-score above ``t`` a pair must share ``t * n`` of the ``n`` trigrams of either side. So the first
-``n - ceil(t * n) + 1`` trigrams of both sides, their *signatures*, share one. Both signatures are exploded
-and joined on the trigram; trigrams that the list does not hold are never emitted. Bounds on the join and behind
-it, all exact, thin pairs out before any text is compared:
+Trigrams have one order: the rarest in the list come first. For a score above ``t`` a pair must share ``t * n`` of
+the ``n`` trigrams of either side. So the first ``n - ceil(t * n) + 1`` trigrams of both sides, their *signatures*,
+share one. Any order is exact; a rare start only makes it cheap. The order is a table of fixed size, the rank of
+each bucket of trigrams by how often the list has it. It is a constant of the plan, so a value is cut, ranked and
+signed where it lies, without a shuffle. Both signatures are exploded and joined on the trigram. Bounds on that
+join, all exact, thin pairs out before any text is compared:
 
 * length: ``t <= n1 / n2 <= 1 / t``;
 * place: trigrams shared at places ``i`` and ``j`` leave room for ``min(i, j)`` shared ones before and
   ``min(n1 - i, n2 - j)`` from there on, and a pair needs ``t * (n1 + n2) / (1 + t)`` in all;
-* count: beyond those shared in the signatures, only the rest of one side's trigrams could be shared.
+* bitmap: each value carries one bit per trigram in a few words. Every bit that only one side has is a trigram, at
+  least, that the other lacks.
 
-Values travel as 64-bit hashes with their sizes until then; the texts are joined back by hash and every
+Values travel as 64-bit hashes with sizes and bitmaps until then; the texts are joined back by hash and every
 surviving pair is scored in full from its two texts. Nothing is capped or sampled.
 """
 
@@ -24,7 +26,9 @@ from vetline.functions.names import packed_trigrams
 from vetline.session import materialize
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
-ENTRY_BYTES = 64  # one index row in a broadcast hash table
+ENTRY_BYTES = 128  # one index row in a broadcast hash table
+BUCKETS = 1 << 12  # of trigrams, for their order
+WORDS = 4  # of 64 bits in a bitmap
 SLACK = 1e-9  # keeps rounding from cutting a pair that lies exactly on a bound
 
 
@@ -43,83 +47,84 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def _spread(values: DataFrame, side: str) -> DataFrame:
-    """``(gram, <side>_hash, <side>_size)``, one row per trigram."""
-    sized = values.select(f"{side}_hash", packed_trigrams(f"{side}_value").alias("grams")).select(
-        f"{side}_hash", "grams", F.size("grams").alias(f"{side}_size")
-    )
-    return sized.select(f"{side}_hash", f"{side}_size", F.explode("grams").alias("gram"))
-
-
 def _outside_signature(size: Column, threshold: float) -> Column:
     return (F.ceil(size * threshold - SLACK) - 1).cast("int")
 
 
-def _signatures(spread: DataFrame, frequency: DataFrame, side: str, threshold: float) -> DataFrame:
-    """``(gram, <side>_hash, <side>_size, <side>_place)``, one row per signature trigram that the list holds."""
-    size = F.col(f"{side}_size")
-    # the group is one value's trigrams, bounded by its length
-    ranked = (
-        spread.join(frequency, "gram")
-        .groupBy(f"{side}_hash", f"{side}_size")
-        .agg(F.array_sort(F.collect_set(F.struct("seen", "gram"))).alias("ranked"))
-        .withColumn("unknown", F.greatest(size - F.size("ranked"), F.lit(0)))
-    )
-    room = F.greatest(size - _outside_signature(size, threshold) - F.col("unknown"), F.lit(0))
-    return ranked.select(f"{side}_hash", f"{side}_size", "unknown", F.posexplode(F.slice("ranked.gram", F.lit(1), room)).alias("at", "gram")).select(
-        "gram", f"{side}_hash", f"{side}_size", (F.col("at") + F.col("unknown")).alias(f"{side}_place")
+def _bucket(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+
+
+def gram_order(listed: DataFrame) -> bytes:
+    """Two bytes for each bucket of trigrams: its place among all by how many listed values have such a trigram."""
+    grams = listed.select(F.explode(packed_trigrams("right_value")).alias("gram"))
+    counts = grams.groupBy(_bucket(F.col("gram")).alias("bucket")).agg(F.count("*").alias("n")).toArrow()  # BUCKETS rows at most
+    ranks = {n: rank for rank, n in enumerate(sorted(set(counts["n"].to_pylist())), 1)}
+    table = bytearray(2 * BUCKETS)
+    for bucket, n in zip(counts["bucket"].to_pylist(), counts["n"].to_pylist(), strict=True):
+        table[2 * bucket : 2 * bucket + 2] = ranks[n].to_bytes(2, "big")
+    return bytes(table)
+
+
+def signed_values(values: DataFrame, side: str, order: bytes, threshold: float) -> DataFrame:
+    """``(<side>_hash, <side>_size, <side>_bits, <side>_grams)``: how many trigrams, their bitmap, and the signature."""
+
+    def ranked(gram: Column) -> Column:
+        rank = F.substring(F.lit(order), 2 * _bucket(gram) + 1, F.lit(2))
+        return F.struct(rank.alias("rank"), gram.alias("gram"))
+
+    def word(k: int) -> Column:
+        def with_bit(bits: Column, gram: Column) -> Column:
+            place = F.pmod(F.xxhash64(gram, F.lit(1)), F.lit(64 * WORDS)).cast("int")
+            return F.when(F.floor(place / 64) == k, bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64))))).otherwise(bits)
+
+        return F.aggregate("grams", F.lit(0).cast("long"), with_bit)
+
+    cut = values.select(f"{side}_hash", packed_trigrams(f"{side}_value").alias("grams"))
+    size = F.size("grams")
+    kept = F.slice(F.array_sort(F.transform("grams", ranked)), F.lit(1), F.greatest(size - _outside_signature(size, threshold), F.lit(0)))
+    return cut.filter(size > 0).select(
+        f"{side}_hash", size.alias(f"{side}_size"), F.struct(*[word(k).alias(f"w{k}") for k in range(WORDS)]).alias(f"{side}_bits"), kept["gram"].alias(f"{side}_grams")
     )
 
 
-def candidate_rows(probes: DataFrame, listed: DataFrame, threshold: float, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """``(left_hash, left_size, right_hash, right_size)``, a row per shared signature trigram within the bounds."""
-    spread = materialize(_spread(listed, "right"), "listed_grams")
-    grams, least, most = spread.agg(F.count("*"), F.min("right_size"), F.max("right_size")).first()
-    frequency = spread.groupBy("gram").agg(F.count("*").alias("seen"))
-    index = _signatures(spread, frequency, "right", threshold)
-    near = F.col("left_size").between(threshold * (least or 0) - SLACK, (most or 0) / threshold + SLACK)
-    small = grams * ENTRY_BYTES <= broadcast_limit
-    # the list's trigrams bound both the frequencies and the index
-    side = F.broadcast if small else (lambda df: df.hint("merge"))
-    signed = _signatures(_spread(probes, "left").filter(near), side(frequency), "left", threshold)
-    n1, n2 = F.col("left_size"), F.col("right_size")
-    i, j = F.col("left_place"), F.col("right_place")
-    needed = threshold * (n1 + n2) / (1 + threshold)
-    close_lengths = (n1 >= threshold * n2 - SLACK) & (n2 >= threshold * n1 - SLACK)
-    room = F.least(i, j) + F.least(n1 - i, n2 - j) >= needed - SLACK
-    left, right = signed.withColumnRenamed("gram", "left_gram"), side(index)
-    return left.join(right, (F.col("left_gram") == F.col("gram")) & close_lengths & room).select("left_hash", "left_size", "right_hash", "right_size")
+def _posted(signed: DataFrame, side: str) -> DataFrame:
+    """A row per signature trigram, with its place."""
+    held = [f"{side}_hash", f"{side}_size", f"{side}_bits"]
+    return signed.select(*held, F.posexplode(f"{side}_grams").alias(f"{side}_place", f"{side}_gram"))
 
 
-def similar_values(
-    left: DataFrame,
-    right: DataFrame,
-    left_value: str,
-    right_value: str,
-    threshold: float,
-    broadcast_limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
-    """Distinct ``(left_value, right_value, score)`` with a score above the threshold.
+def _alone(own: str, other: str) -> Column:
+    """Bits that one side has and the other lacks."""
+    total = F.lit(0)
+    for k in range(WORDS):
+        total = total + F.bit_count(F.col(f"{own}_bits.w{k}").bitwiseAND(F.bitwise_not(F.col(f"{other}_bits.w{k}"))))
+    return total
 
-    A list whose trigrams prove it small is broadcast: the probes are then matched and counted where
-    they lie. A larger one is joined by shuffling both sides on the trigram, where the adaptive
-    skew join splits a frequent trigram. The listed values, their trigrams and the candidate pairs (two
-    hashes each) are stored in between, so building this plan runs jobs.
+
+def candidate_rows(left: DataFrame, right: DataFrame, threshold: float, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``(left_hash, right_hash)`` of signed values, a row per shared signature trigram within the bounds.
+
+    The right side is broadcast where the number of its signature trigrams proves it small; otherwise both are
+    shuffled on the trigram, where the adaptive join splits a frequent one.
     """
-    probes = _distinct_values(left, left_value, "left")
-    listed = materialize(_distinct_values(right, right_value, "right"), "listed")
+    grams = right.agg(F.sum(F.size("right_grams"))).first()[0] or 0
+    side = F.broadcast if grams * ENTRY_BYTES <= broadcast_limit else (lambda df: df.hint("merge"))
     n1, n2 = F.col("left_size"), F.col("right_size")
-    needed = threshold * (n1 + n2) / (1 + threshold)
-    rest = F.greatest(_outside_signature(n1, threshold), _outside_signature(n2, threshold))
-    candidates = (
-        candidate_rows(probes, listed, threshold, broadcast_limit)
-        .groupBy("left_hash", "left_size", "right_hash", "right_size")
-        .agg(F.count("*").alias("met"))
-        .filter(F.col("met") + rest >= needed - SLACK)
+    i, j = F.col("left_place"), F.col("right_place")
+    needed = threshold * (n1 + n2) / (1 + threshold) - SLACK
+    close_lengths = (n1 >= threshold * n2 - SLACK) & (n2 >= threshold * n1 - SLACK)
+    room = F.least(i, j) + F.least(n1 - i, n2 - j) >= needed
+    bits = (n1 - _alone("left", "right") >= needed) & (n2 - _alone("right", "left") >= needed)
+    return (
+        _posted(left, "left")
+        .join(side(_posted(right, "right")), (F.col("left_gram") == F.col("right_gram")) & close_lengths & room & bits)
         .select("left_hash", "right_hash")
     )
-    candidates = materialize(candidates, "candidates")
-    # for the score, a listed value is cut into trigrams once more, and so is a probe with a candidate
+
+
+def scored_pairs(candidates: DataFrame, probes: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
+    """Distinct ``(left_value, right_value, score)`` above the threshold, scored from the texts."""
     with_candidate = probes.join(candidates.select("left_hash").distinct(), "left_hash", "left_semi")
     common = F.size(F.array_intersect("left_grams", "right_grams"))
     score = F.col("common") / (F.size("left_grams") + F.size("right_grams") - F.col("common"))
@@ -133,6 +138,27 @@ def similar_values(
     )
 
 
+def similar_values(
+    left: DataFrame,
+    right: DataFrame,
+    left_value: str,
+    right_value: str,
+    threshold: float,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Distinct ``(left_value, right_value, score)`` with a score above the threshold.
+
+    The listed values and the candidate pairs (two hashes each) are stored in between, so building this plan runs
+    jobs.
+    """
+    probes = _distinct_values(left, left_value, "left")
+    listed = materialize(_distinct_values(right, right_value, "right"), "listed")
+    order = gram_order(listed)
+    index = materialize(signed_values(listed, "right", order, threshold), "index")
+    candidates = candidate_rows(signed_values(probes, "left", order, threshold), index, threshold, broadcast_limit).distinct()
+    return scored_pairs(materialize(candidates, "candidates"), probes, listed, threshold)
+
+
 def similarity_join(
     left: DataFrame,
     right: DataFrame,
@@ -143,13 +169,16 @@ def similarity_join(
     include_equal: bool = False,
     score: str = "similarity_score",
     broadcast_limit: int = BROADCAST_LIMIT,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """All row pairs scoring above the threshold, with the score.
 
+    ``pairs`` are similar values found before (``left_value, right_value, score``); without them they are found here.
     ``include_equal`` adds pairs of equal texts without any trigram (two empty names); other equal
     texts score 1 and are found anyway.
     """
-    pairs = similar_values(left, right, left_on, right_on, threshold, broadcast_limit)
+    if pairs is None:
+        pairs = similar_values(left, right, left_on, right_on, threshold, broadcast_limit)
     if include_equal:
         blank = _distinct_values(right, right_on, "right").filter(~F.col("right_value").rlike(r"[\p{L}\p{N}]"))
         equal = blank.select(F.col("right_value").alias("left_value"), "right_value", F.lit(0.0).alias("score"))

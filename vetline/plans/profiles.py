@@ -1,19 +1,33 @@
-"""Risk-oriented search profiles applied to text.
+"""Risk-oriented search profiles applied to text, as a relational division over posting lists.
 
-A profile is an AND of OR-groups of terms. Terms match whole words without regard to case; a
-trailing ``*`` matches any word ending. Profiles are configuration, so they become literal
-patterns of the plan, compiled once, and a text is read in one pass without a join.
+A profile is an AND of OR-groups of terms. Terms match whole words without regard to case; a trailing ``*``
+matches any word ending. Profiles are rows, any number of them:
+
+1. Terms are cut into words and single signs. Each is one posting: its text, how many pieces it has, and, for an
+   open ending, how much of the last piece counts. Equal groups of different profiles are one group.
+2. A text is cut alike. At every place it gives the stretches of the lengths that postings have, so that a phrase
+   meets its posting in an equality join with all its words in place. Only how postings are shaped (a few
+   lengths, one row) goes to the driver.
+3. The groups that a text meets are gathered per distinct text. A profile is looked up by its rarest group and
+   kept where all its groups are met. Texts without a hit shuffle nothing but the hits of others do.
+
+An empty term or a lone ``*`` matches nothing; neither does a profile without groups or with a group without terms.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetline.session import materialize
+
+PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]"
+WORD = r"^[\p{L}\p{N}]"
+PROFILE_SCHEMA = "profile_id string, groups array<array<string>>, expected_risk_category string, enabled boolean"
+
 
 @dataclass(frozen=True)
 class Profile:
@@ -56,50 +70,115 @@ DEFAULT_PROFILES = (
 )
 
 
+def profile_rows(spark: SparkSession, profiles: Iterable[Profile] = DEFAULT_PROFILES) -> DataFrame:
+    """Profiles written in code as rows."""
+    rows = [(p.profile_id, [list(group) for group in p.groups], p.expected_risk_category, p.enabled) for p in profiles]
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+
+
 def enabled_profiles(profiles: DataFrame) -> DataFrame:
     """Profile rows that are switched on; an unset switch counts as off."""
     return profiles.filter(F.col("enabled"))
 
 
-def profiles_from_rows(profiles: DataFrame) -> list[Profile]:
-    """Enabled profile rows (``groups`` as an array of arrays) as plan configuration.
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(PIECES), F.lit(0))
 
-    Profiles are written by people and become patterns of the plan, so all of them are read.
+
+def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(group_key, pieces, open, stretch)`` a row per term, and ``(profile_id, category, groups)`` a row per profile.
+
+    pieces: how many the stretch has; open: how many characters of the last one count, NULL for all.
     """
-    return [
-        Profile(row["profile_id"], tuple(tuple(group) for group in row["groups"]), row["expected_risk_category"])
-        for row in enabled_profiles(profiles).toLocalIterator()
-    ]
-
-
-def _pattern(terms: Iterable[str]) -> str:
-    words = [
-        re.escape(term[:-1].lower()) + r"[\p{L}\p{N}]*" if term.endswith("*") else re.escape(term.lower())
-        for term in terms
-    ]
-    return r"(^|[^\p{L}\p{N}])(" + "|".join(words) + r")([^\p{L}\p{N}]|$)"
-
-
-def profile_matches(text: Column, profile: Profile) -> Column:
-    lowered = F.lower(text)
-    matches = F.lit(True)
-    for group in profile.groups:
-        matches = matches & lowered.rlike(_pattern(group))
-    return matches
-
-
-def tag_profiles(df: DataFrame, text: str, profiles: Iterable[Profile] = DEFAULT_PROFILES) -> DataFrame:
-    """Each row once per profile it matches, with the profile id and the expected category."""
-    tags = [
-        F.when(
-            profile_matches(F.col(text), profile),
-            F.struct(F.lit(profile.profile_id).alias("id"), F.lit(profile.expected_risk_category).alias("category")),
-        )
-        for profile in profiles
-        if profile.enabled
-    ]
-    return (
-        df.withColumn("_tag", F.explode(F.array_compact(F.array(*tags))))
-        .withColumns({"search_profile": F.col("_tag.id"), "expected_risk_category": F.col("_tag.category")})
-        .drop("_tag")
+    # the key of a group is that of its terms, so groups that profiles share are looked for once
+    terms = F.array_sort(F.array_distinct(F.transform("terms", lambda term: F.lower(term))))
+    flat = (
+        enabled_profiles(profiles)
+        .select("profile_id", F.col("expected_risk_category").alias("category"), F.posexplode("groups").alias("group_no", "terms"))
+        .withColumn("terms", terms)
+        .withColumn("group_key", F.xxhash64("terms"))
+    )
+    term = flat.select("group_key", "terms").dropDuplicates(["group_key"]).select("group_key", F.explode("terms").alias("term"))
+    opened = term.withColumn("ending", F.col("term").endswith("*")).withColumn("term", F.regexp_replace("term", r"\*$", ""))
+    cut = opened.filter("term <> ''").withColumn("parts", _pieces(F.col("term")))
+    last = F.element_at("parts", -1)
+    size, length = F.size("parts"), F.length(last)
+    whole = F.struct(size.alias("pieces"), F.lit(None).cast("int").alias("open"))
+    forms = (
+        F.when(~F.col("ending"), F.array(whole))
+        .when(last.rlike(WORD), F.array(F.struct(size.alias("pieces"), length.alias("open"))))
+        # a sign may be followed by a word or by none
+        .otherwise(F.array(whole, F.struct((size + 1).alias("pieces"), F.lit(0).alias("open"))))
     )
+    posted = cut.select("group_key", F.col("term").alias("stretch"), F.explode(forms).alias("form")).select("group_key", "stretch", "form.*")
+    wanted = flat.groupBy("profile_id", "category").agg(F.collect_set("group_key").alias("groups"))
+    return posted, wanted
+
+
+def _stretches(shapes: list[tuple[int, int | None]], signs: bool) -> Column:
+    """Distinct ``(pieces, open, stretch)`` of a text in pieces (`_parts`; `_word` says which are words)."""
+    parts = F.col("_parts")
+
+    def word(at: Column) -> Column:
+        return F.coalesce(F.get(F.col("_word"), at), F.lit(False))
+
+    def form(pieces: int, opened: int | None, stretch: Column) -> Column:
+        return F.struct(F.lit(pieces).alias("pieces"), F.lit(opened).cast("int").alias("open"), stretch.alias("stretch"))
+
+    def of_shape(pieces: int, opened: int | None) -> Column:
+        if pieces == 1 and not (signs and opened is None):
+            words = F.filter(F.array_distinct(parts), lambda part: part.rlike(WORD) & (F.length(part) >= (opened or 0)))
+            return F.transform(words, lambda part: form(1, opened, part if opened is None else F.left(part, F.lit(opened))))
+
+        def at_place(at: Column) -> Column:
+            last = at + (pieces - 1)
+            # no word goes on at either border
+            free = (word(at) | ~word(at - 1)) if signs else word(at)
+            if opened is None:
+                free = free & (word(last) | ~word(last + 1))
+                held = F.slice(parts, at + 1, pieces)
+            else:
+                free = free & word(last) & (F.length(F.get(parts, last)) >= opened)
+                held = F.concat(F.slice(parts, at + 1, pieces - 1), F.array(F.left(F.get(parts, last), F.lit(opened))))
+            return F.when(free, form(pieces, opened, F.array_join(held, "")))
+
+        places = F.when(F.size(parts) >= pieces, F.sequence(F.lit(0), F.size(parts) - pieces)).otherwise(F.array().cast("array<int>"))
+        return F.array_compact(F.transform(places, at_place))
+
+    return F.array_distinct(F.concat(*[of_shape(pieces, opened) for pieces, opened in shapes]))
+
+
+def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profile] = DEFAULT_PROFILES) -> DataFrame:
+    """Each row once per profile it matches, with the profile id and the expected category.
+
+    profiles: rows ``(profile_id, groups, expected_risk_category, enabled)``, or profiles written in code.
+    """
+    if not isinstance(profiles, DataFrame):
+        profiles = profile_rows(df.sparkSession, profiles)
+    posted, wanted = postings(profiles)
+    posted = materialize(posted, "postings")
+    shape = posted.select("pieces", "open", (~F.col("stretch").rlike(WORD)).alias("sign")).agg(
+        F.sort_array(F.collect_set(F.struct("pieces", F.coalesce("open", F.lit(-1)).alias("open")))).alias("shapes"), F.max("sign").alias("signs")
+    ).first()
+    # one row of the few distinct lengths that terms have
+    shapes = [(s["pieces"], None if s["open"] < 0 else s["open"]) for s in shape["shapes"]]
+    marked = df.withColumn("_text_key", F.unhex(F.md5(text)))
+    if not shapes:
+        return marked.filter("false").withColumns({"search_profile": F.lit(None).cast("string"), "expected_risk_category": F.lit(None).cast("string")}).drop("_text_key")
+
+    cut = marked.filter(F.col(text).isNotNull()).select("_text_key", _pieces(F.col(text)).alias("_parts"))
+    cut = cut.withColumn("_word", F.transform("_parts", lambda part: part.rlike(WORD)))
+    said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]))).alias("s")).select("_text_key", "s.*")
+    same = (F.col("s.pieces") == F.col("p.pieces")) & F.col("s.open").eqNullSafe(F.col("p.open")) & (F.col("s.stretch") == F.col("p.stretch"))
+    # texts are told apart by a 128-bit hash: copies of a text are looked at once from here on
+    met = materialize(said.alias("s").join(posted.alias("p"), same).select("_text_key", "group_key").distinct(), "groups_met")
+    # a profile waits under its rarest group, the only one by which texts look it up
+    seen = met.groupBy("group_key").agg(F.count("*").alias("texts"))
+    ranked = wanted.select("*", F.explode("groups").alias("group_key")).join(seen, "group_key", "left")
+    rarest = ranked.groupBy("profile_id", "category").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "group_key")).alias("rare"), F.first("groups").alias("groups"))
+    rarest = rarest.filter("rare.texts > 0").select("profile_id", "category", "groups", F.col("rare.group_key").alias("group_key"))
+    own = met.groupBy("_text_key").agg(F.collect_set("group_key").alias("own"))
+    lead = met.join(rarest, "group_key").join(own, "_text_key")
+    hits = lead.filter(F.size(F.array_except("groups", "own")) == 0).select("_text_key", F.col("profile_id").alias("search_profile"), F.col("category").alias("_category"))
+    out = marked.drop("search_profile", "expected_risk_category").join(hits, "_text_key")
+    return out.withColumnRenamed("_category", "expected_risk_category").drop("_text_key")

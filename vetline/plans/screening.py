@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vetline.functions import normalize_name, normalize_name_ascii, screening_verdict
 from vetline.operators.dedup import latest_per_key, top_k
+from vetline.operators.pairstore import PairStore
 from vetline.operators.similarity import similarity_join
 
 THRESHOLD = 0.7
@@ -56,7 +57,15 @@ def _name_columns(names: DataFrame) -> DataFrame:
     )
 
 
-def screen_fuzzy_top(inputs: DataFrame, names: DataFrame, k: int = TOP, threshold: float = THRESHOLD) -> DataFrame:
+def update_pairs(store: PairStore, inputs: DataFrame, names: DataFrame) -> DataFrame:
+    """The similar normalised names of a store, brought up to date; both fuzzy marts can be made from them."""
+    wanted = inputs.select(normalize_name_ascii("input_name").alias("normalized_input_name"))
+    return store.update(wanted, names, "normalized_input_name", "normalized_name")
+
+
+def screen_fuzzy_top(
+    inputs: DataFrame, names: DataFrame, k: int = TOP, threshold: float = THRESHOLD, pairs: DataFrame | None = None
+) -> DataFrame:
     """The k most similar names per input name.
 
     An input name listed n times has n copies of each match in its ranking, as specified; the
@@ -66,7 +75,7 @@ def screen_fuzzy_top(inputs: DataFrame, names: DataFrame, k: int = TOP, threshol
     wanted = wanted.withColumn("normalized_input_name", normalize_name_ascii("input_name"))
     ties = [F.col("name_value"), F.col("entity_id"), F.col("name_type"), F.col("source_list")]
     listed = _name_columns(top_k(names, ["normalized_name"], ties, k, "_rank").drop("_rank"))
-    pairs = similarity_join(wanted, listed, "normalized_input_name", "matched_normalized_name", threshold)
+    pairs = similarity_join(wanted, listed, "normalized_input_name", "matched_normalized_name", threshold, pairs=pairs)
     copies = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(k)).cast("int")))
     order = [
         F.col("similarity_score").desc(),
@@ -88,19 +97,24 @@ def _is_equal() -> Column:
     return F.when(F.col("normalized_input_name") == F.col("matched_normalized_name"), 1).otherwise(0)
 
 
-def fuzzy_pairs(inputs: DataFrame, names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def similar_names(inputs: DataFrame, names: DataFrame, threshold: float = THRESHOLD, pairs: DataFrame | None = None) -> DataFrame:
+    """Input names with every row of a listed name that is similar or equal."""
+    wanted = inputs.select("input_name").distinct()
+    wanted = wanted.withColumn("normalized_input_name", normalize_name_ascii("input_name"))
+    return similarity_join(
+        wanted, _name_columns(names), "normalized_input_name", "matched_normalized_name", threshold, include_equal=True, pairs=pairs
+    )
+
+
+def fuzzy_pairs(inputs: DataFrame, names: DataFrame, threshold: float = THRESHOLD, pairs: DataFrame | None = None) -> DataFrame:
     """Input names with every listed name that is similar or equal, once per pair of names.
 
     Rows of one listed name differ only in their entity, so the first entity is picked before the join.
     """
-    wanted = inputs.select("input_name").distinct()
-    wanted = wanted.withColumn("normalized_input_name", normalize_name_ascii("input_name"))
     first = latest_per_key(
         names, ["name_value"], [F.col("entity_id"), F.col("name_type"), F.col("source_list")]
     )
-    return similarity_join(
-        wanted, _name_columns(first), "normalized_input_name", "matched_normalized_name", threshold, include_equal=True
-    )
+    return similar_names(inputs, first, threshold, pairs)
 
 
 def dedup_pairs(matched: DataFrame) -> DataFrame:
@@ -120,13 +134,15 @@ def rank_candidates(pairs: DataFrame, k: int = TOP) -> DataFrame:
     return top_k(pairs, ["input_name"], order, k)
 
 
-def screen_fuzzy_best(inputs: DataFrame, names: DataFrame, k: int = TOP, threshold: float = THRESHOLD) -> DataFrame:
+def screen_fuzzy_best(
+    inputs: DataFrame, names: DataFrame, k: int = TOP, threshold: float = THRESHOLD, pairs: DataFrame | None = None
+) -> DataFrame:
     """The k best distinct names per input name with a verdict."""
     first = latest_per_key(
         names, ["name_value"], [F.col("entity_id"), F.col("name_type"), F.col("source_list")]
     )
     few = top_k(first, ["normalized_name"], [F.col("name_value")], k, "_rank").drop("_rank")
-    ranked = rank_candidates(fuzzy_pairs(inputs, few, threshold), k)
+    ranked = rank_candidates(fuzzy_pairs(inputs, few, threshold, pairs), k)
     verdict = screening_verdict(
         F.col("normalized_input_name"), F.col("matched_normalized_name"), F.col("similarity_score")
     )
