@@ -4,13 +4,16 @@
    as log odds less the log odds of the labelled rows it was fitted on. It is fitted on at most `fit_rows`
    labelled rows, those with the smallest hash of their id; where one class is missing, all evidence is 0.
 2. Sites are hosts and, within them, paths. A site's evidence is the sum of its documents' probabilities (of
-   labels, where there are some), from grouped aggregation. Beta priors are fitted by moments: the spread of
-   host rates around the global rate, and of path rates around their host's, beyond what their sizes explain.
+   labels, where there are some), from grouped aggregation. Beta priors are fitted by analysis of variance: the
+   spread of host rates around the global rate, and of path rates around their host's, beyond that of the documents
+   within them.
    A host's posterior rate shrinks to the global rate, a path's to its host's, the more the fewer documents.
 3. A document's posterior joins its own evidence with its path's rate as prior. The rate leaves the document
    itself out and stays within RATE_BOUNDS, so that no site condemns or clears its documents alone.
 
-Null and empty texts have no evidence and get their site's rate. Null hosts and paths are sites of their own.
+The columns `source` and `lang` stand in for host and path where a table has no address; `host_and_path` takes both
+from one. Null and empty texts have no evidence and get their site's rate. A posterior equal to the threshold keeps.
+Long texts are read whole, slice by slice. Null hosts and paths are sites of their own.
 Null, repeated or unknown ids in labels: null labels are ignored, several labels of an id are averaged, ids
 without a document are ignored. Repeated rows count each. Tables without rows give no rows, without labels
 everything is kept at a rate of 1/2. Other columns are not read.
@@ -107,17 +110,57 @@ def _evidence(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(4)), pa.array(found)], ["doc_id", "mark", "host", "path", "evidence"])
 
 
-def _strength(rate: float, squares: float, noise: float, n: float) -> float:
-    """Strength of a Beta prior around `rate`, from the spread of observed rates less what sizes explain.
+def _strength(rate: float, between: float, within: float, groups: float, weight: float) -> float:
+    """Strength of a Beta prior around `rate` from the analysis of variance of its groups.
 
-    squares: sum over sites of n (observed - prior)**2; noise: sum of rate (1 - rate) per site.
+    between: sum over groups of n (mean - mean of all)**2; within: variance of single documents in their group;
+    groups: how many means are free; weight: sum of n less its share that the mean of all takes up.
     """
-    if not n:
+    if weight <= 0 or groups <= 0 or not np.isfinite(within):
         return STRENGTH_BOUNDS[1]
-    spread = max((squares - noise) / n, 1e-9)
+    spread = max((between - within * groups) / weight, 1e-9)
     return float(np.clip(rate * (1 - rate) / spread - 1, *STRENGTH_BOUNDS))
 
 
+def strengths(sites: DataFrame, rate: float) -> tuple[float, float]:
+    """Strengths of the priors of hosts around all and of paths around their host.
+
+    sites: h, w, n, s, q a path: documents, sum of their probabilities and of the squares. The spread of observed
+    means is that of the true rates plus the documents' own, which is measured within hosts and paths; so soft
+    probabilities, which vary less than labels, need no other rule.
+    """
+    hosts = sites.groupBy("h").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.col("n") ** 2).alias("n2"), F.count("*").alias("paths"), F.sum(F.col("s") ** 2 / F.col("n")).alias("fit"))
+    mean = F.col("s") / F.col("n")
+    all_ = hosts.agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("n") ** 2).alias("n2"),
+        F.count("*").alias("hosts"),
+        F.sum("paths").alias("paths"),
+        F.sum("q").alias("q"),
+        F.sum("fit").alias("path_fit"),
+        F.sum(mean * F.col("s")).alias("host_fit"),
+        F.sum("s").alias("s"),
+        F.sum(F.col("n") - F.col("n2") / F.col("n")).alias("path_weight"),
+        F.sum(F.col("s") * (1 - mean)).alias("host_variance"),
+    ).first()
+    if not all_["n"]:
+        return STRENGTH_BOUNDS[1], STRENGTH_BOUNDS[1]
+    n, hosts_n, paths_n = all_["n"], all_["hosts"], all_["paths"]
+    in_hosts = (all_["q"] - all_["host_fit"]) / (n - hosts_n) if n > hosts_n else np.nan
+    in_paths = (all_["q"] - all_["path_fit"]) / (n - paths_n) if n > paths_n else np.nan
+    k_host = _strength(rate, all_["host_fit"] - all_["s"] ** 2 / n, in_hosts, hosts_n - 1, n - all_["n2"] / n)
+    # the rates of paths spread around those of their hosts
+    variance = rate * (1 - rate) * k_host / (k_host + 1)
+    around = 0.5 + float(np.sqrt(max(0.25 - variance, 0.0)))
+    k_path = _strength(around, all_["path_fit"] - all_["host_fit"], in_paths, paths_n - hosts_n, all_["path_weight"])
+    return k_host, k_path
+
+
+def host_and_path(url: F.Column) -> tuple[F.Column, F.Column]:
+    """Host and first path segment of an address."""
+    return F.try_parse_url(url, F.lit("HOST")), F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), "^/[^/]*", 0)
+
+
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", host: str = "source", path: str = "lang", label: str = "quality", fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, mark, host, path, evidence, host_rate, path_rate, posterior, kept.
 
@@ -149,20 +192,12 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         return F.struct(F.col(column).isNull(), F.coalesce(column, F.lit("")))
 
     own = own.select("*", named("host").alias("h"), named("path").alias("w"))
-    paths = own.groupBy("h", "w").agg(F.count("*").alias("n"), F.sum("p").alias("s"))
+    paths = own.groupBy("h", "w").agg(F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") ** 2).alias("q"))
     hosts = paths.groupBy("h").agg(F.sum("n").alias("n_h"), F.sum("s").alias("s_h"))
     sites = materialize(paths.join(hosts, "h"), "sites")
-    hosts = sites.select("h", "n_h", "s_h").distinct()
-    total = hosts.agg(F.sum("n_h"), F.sum("s_h")).first()
+    total = sites.agg(F.sum("n"), F.sum("s")).first()
     rate = float(np.clip(total[1] / total[0], 1e-3, 1 - 1e-3)) if total[0] else 0.5
-
-    def strength(table: DataFrame, n: F.Column, s: F.Column, around: F.Column) -> float:
-        squares, noise, size = table.agg(F.sum(n * (s / n - around) ** 2), F.sum(around * (1 - around)), F.sum(n)).first()
-        return _strength(rate, squares or 0.0, noise or 0.0, size or 0.0)
-
-    k_host = strength(hosts, F.col("n_h"), F.col("s_h"), F.lit(rate))
-    host_rate = (F.col("s_h") + k_host * rate) / (F.col("n_h") + k_host)
-    k_path = strength(sites, F.col("n"), F.col("s"), host_rate)
+    k_host, k_path = strengths(sites, rate)
     # without the document itself
     host_rate = (F.col("s_h") - F.col("p") + k_host * rate) / (F.col("n_h") - 1 + k_host)
     path_rate = (F.col("s") - F.col("p") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)

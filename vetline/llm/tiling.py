@@ -6,11 +6,12 @@ with Karp-Rabin hashes of `words` words and grown along them. The share of the i
 not depend on the order of its passages. From `coverage` on the document is contaminated by the item.
 
 Words are lower-cased (A-Z). Null and empty texts share nothing. Items of fewer than `words` words cannot
-hold a seed and are not searched. Of items with one id the best covered counts. Rows that repeat an id give a row each, save that equal (id, text) rows
-are compared once; a null id stays null. Empty tables give no rows; other columns are not read.
+hold a seed and are not searched. Of items with one id the best covered counts. Rows that repeat an id, or id and
+text, give a row each; a null id stays null. Texts of any length are compared whole. Empty tables give no rows; other columns are not read.
 
 Items of up to BROADCAST_WORDS words in all are sent to every task, and texts are not shuffled. Beyond that
-bound seeds of both sides are joined, and texts go to the items that they share a seed with.
+bound seeds of both sides are joined and counted, and a text goes only to the items that its shared seeds could
+cover enough of.
 """
 
 from __future__ import annotations
@@ -140,17 +141,22 @@ def _compare_all(batches: Iterator[pa.RecordBatch], seeds, coverage: float) -> I
 
 def _compare_pairs(batches: Iterator[pa.RecordBatch], n: int, coverage: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = []
-        for doc, mark, hashes, item, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), _hashed(batch.column(2)), batch.column(3).to_pylist(), _hashed(batch.column(4)), strict=True):
-            found += [(doc, mark, *row) for row in Seeds([(item, own)], n).compare(hashes, coverage)]
-        yield _batch(found)
+        keys, found = [], []
+        for key, hashes, item, own in zip(batch.column(0).to_pylist(), _hashed(batch.column(1)), batch.column(2).to_pylist(), _hashed(batch.column(3)), strict=True):
+            for row in Seeds([(item, own)], n).compare(hashes, coverage):
+                keys.append(key)
+                found.append((None, None, *row))
+        rest = _batch(found)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *rest.columns[2:]], ["key", *rest.schema.names[2:]])
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """A row per distinct seed of a text: key, seed, at how many places, and the words of the text."""
     for batch in batches:
-        for key, hashes in zip(batch.column(0).to_pylist(), _hashed(batch.column(1)), strict=True):
-            seeds = np.unique(sequence_hashes(hashes, n)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seeds), key, np.int64)), pa.array(seeds)], ["key", "seed"])
+        for at, hashes in enumerate(_hashed(batch.column(1))):
+            seeds, places = np.unique(sequence_hashes(hashes, n), return_counts=True)
+            key = batch.column(0).slice(at, 1).take(pa.array(np.zeros(len(seeds), np.int32)))
+            yield pa.RecordBatch.from_arrays([key, pa.array(seeds.view(np.int64)), pa.array(places.astype(np.int64)), pa.array(np.full(len(seeds), len(hashes), np.int64))], ["key", "seed", "places", "words"])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = WORDS, coverage: float = COVERAGE, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
@@ -166,12 +172,16 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = WORDS, coverage: fl
         held = [(r["item_id"], next(_hashed(pa.array([r["item_body"]])))) for r in tests.collect()]
         seeds = spark.sparkContext.broadcast(Seeds(held, n))
         return rows.mapInArrow(lambda it: _compare_all(it, seeds, coverage), RESULT)
-    sides = [
-        side.mapInArrow(lambda it: _seed_rows(it, n), "key long, seed long")
-        for side in (rows.select("mark", "body").dropDuplicates(["mark"]), tests.select("item_id", "item_body"))
-    ]
-    shared = sides[0].withColumnRenamed("key", "mark").join(sides[1].withColumnRenamed("key", "item_id"), "seed").select("mark", "item_id").distinct()
-    pairs = materialize(shared, "seeded").join(tests, "item_id").join(rows, "mark").select("doc_id", "mark", "body", "item_id", "item_body")
-    found = pairs.mapInArrow(lambda it: _compare_pairs(it, n, coverage), RESULT)
-    best = found.groupBy("doc_id", "mark", "item_id").agg(F.max(F.struct("coverage", "n_words", "n_covered", "n_tiles")).alias("best"))
-    return best.select("doc_id", "mark", "item_id", "best.n_words", "best.n_covered", "best.n_tiles", "best.coverage")
+    # a text is compared once however many rows hold it; each of these gets its result
+    rows = rows.withColumn("key", F.unhex(F.md5("body")))
+    texts = rows.select("key", "body").dropDuplicates(["key"])
+    held = texts.mapInArrow(lambda it: _seed_rows(it, n), "key binary, seed long, places long, words long").select("key", "seed")
+    posted = tests.select("item_id", "item_body").mapInArrow(lambda it: _seed_rows(it, n), "key long, seed long, places long, words long")
+    posted = posted.groupBy(F.col("key").alias("item_id"), "seed").agg(F.sum("places").alias("places"), F.min("words").alias("words"))
+    # a pair meets only where the places of its shared seeds could cover enough of the item
+    enough = F.col("places") * n >= coverage * F.col("words")
+    shared = held.join(posted, "seed").groupBy("key", "item_id").agg(F.sum("places").alias("places"), F.min("words").alias("words")).filter(enough)
+    pairs = materialize(shared.select("key", "item_id"), "seeded").join(tests, "item_id").join(texts, "key").select("key", "body", "item_id", "item_body")
+    found = pairs.mapInArrow(lambda it: _compare_pairs(it, n, coverage), RESULT.replace("doc_id long, mark long", "key binary"))
+    best = found.groupBy("key", "item_id").agg(F.max(F.struct("coverage", "n_words", "n_covered", "n_tiles")).alias("best"))
+    return rows.join(best, "key").select("doc_id", "mark", "item_id", "best.n_words", "best.n_covered", "best.n_tiles", "best.coverage")
