@@ -311,6 +311,63 @@ def test_jobs_from_files_to_signals(spark, tmp_path):
     assert rows(quarantined, "line", "line_no") == [("{broken", 4), ("{broken", 4)]
 
 
+def test_jobs_bronze_manifest_and_report(spark, tmp_path):
+    landing, warehouse, ds = tmp_path / "land", str(tmp_path / "wh"), "2026-01-04"
+
+    def land(entity, day, name, records):
+        folder = landing / entity / "load_type=daily" / f"dt={day}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text("\n".join([json.dumps(r) for r in records] + ["", "{broken"]))
+
+    def item(i, title, archived):
+        return {"id": i, "name": title, "archived": archived, "published_at": "2026-01-03T10:00:00+0300", "search_profile": f"P{i}"}
+
+    land("vacancies_list", ds, "part-000.jsonl", [item(1, "a", False), item(1, "twice", False), item(2, "b", False), item(3, "c", False), {"name": "no id"}])
+    land("vacancy_details", ds, "part-000.jsonl", [{"id": "1", "name": "a"}, {"id": 4, "name": "not asked for"}])
+    land("vacancy_details", ds, "part-001.jsonl", [{"id": 1, "name": "a"}])
+    land("vacancy_details_failures", ds, "part-000.jsonl", [{"reason": "not_found", "http_status": "404"}, {"reason": None}, {"reason": "not_found", "http_status": 404}])
+    for _ in range(2):  # a rerun changes nothing
+        jobs.load_day(spark, str(landing), warehouse, ds, buckets=2)
+        jobs.write_day_manifest(spark, str(landing), ds)
+        report = jobs.report_day(spark, str(landing), warehouse, ds, buckets=2).first()
+    manifest = spark.read.json(f"{landing}/vacancies_ids/load_type=daily/dt={ds}")
+    assert rows(manifest, "vacancy_id", "search_profile", "load_dt", "load_type") == [(str(i), f"P{i}", ds, "daily") for i in (1, 2, 3)]
+    assert (report.expected_count, report.loaded_count, report.missing_count, report.found_files, report.failures_files) == (3, 2, 2, 2, 1)
+    assert (report.severity, report.coverage_reason, report.sample_missing_ids) == ("WARNING", "OK", ["2", "3"])
+    assert report.failures_by_reason == {"not_found": 2, "unknown": 1} and report.failures_by_status == {"404": 2, "unknown": 1}
+    # a day without files
+    empty = jobs.report_day(spark, str(landing), warehouse, "2026-01-09", buckets=2).first()
+    assert (empty.coverage_reason, empty.severity, empty.found_files, empty.failures_files) == ("NO_MANIFEST", "CRITICAL", 0, 0)
+    kept = jobs.KeyedStore(spark, f"{warehouse}/bronze/details_coverage_report", *jobs.REPORT_STORE).read()
+    assert rows(kept, "load_dt", "severity", "failures_by_reason") == [(D(2026, 1, 4), "WARNING", '{"not_found":2,"unknown":1}'), (D(2026, 1, 9), "CRITICAL", "{}")]
+
+    land("vacancies_list", "2026-01-05", "part-000.jsonl", [item(1, "new", True)])
+    land("vacancy_details", "2026-01-05", "part-000.jsonl", [{"id": 1, "name": "new"}])
+    jobs.load_day(spark, str(landing), warehouse, "2026-01-05", buckets=2)
+    bronze = jobs.bronze_stores(spark, warehouse)
+    first, last, never = D(2026, 1, 3), D(2026, 1, 5), D(2999, 1, 1)
+    assert rows(bronze["vacancies"].read(), "id", "name", "active_from", "active_to") == [(1, "new", first, last), (2, "b", first, never), (3, "c", first, never)]
+    assert rows(bronze["vacancy_details"].read(), "id", "name", "load_dt") == [(1, "new", last), (4, "not asked for", D(2026, 1, 4))]
+
+
+def test_screening_job_compares_only_what_is_new(spark, tmp_path):
+    warehouse = str(tmp_path / "wh")
+    listed = [(i, n, "primary", "UN") for i, n in LIST]
+    names = spark.createDataFrame(listed, "entity_id string, name_value string, name_type string, source_list string")
+    names = names.withColumn("normalized_name", screening.normalize_name("name_value"))
+    inputs = spark.createDataFrame([(1, "ADF NALU"), (2, "Allied Democrtic Forces"), (3, "nobody")], "input_id int, input_name string")
+    jobs.screen(inputs.filter("input_id < 2"), names.filter("entity_id < 2"), warehouse)
+    marts = jobs.screen(inputs, names, warehouse)
+    assert rows(marts["sanctions_exact_matches"]) == rows(screening.screen_exact(inputs, names))
+    assert rows(marts["sanctions_fuzzy_matches"]) == rows(screening.screen_fuzzy_top(inputs, names))
+    assert rows(marts["sanctions_fuzzy_matches_best"]) == rows(screening.screen_fuzzy_best(inputs, names))
+    assert rows(marts["sanctions_screening_results_demo"]) == rows(screening.demo_results(screening.screen_fuzzy_best(inputs, names)))
+    store = jobs.PairStore(spark, f"{warehouse}/gold/similar_names", screening.THRESHOLD)
+    batches = store.last_batch()
+    jobs.screen(inputs, names, warehouse)
+    assert store.last_batch() == batches == 1
+
+
 def test_store_keeps_its_bucket_count(spark):
     path, schema = scratch_path(spark, "store"), "k int, v string"
     first = spark.createDataFrame([(i, "a") for i in range(40)], schema)

@@ -157,16 +157,25 @@ def sink_parquet_daily(t: Data) -> DataFrame:
 # --- raw payloads ------------------------------------------------------------------------------
 
 
-@query("register_raw_payload")
+@query(
+    "register_raw_payload",
+    """SELECT 'documents' AS source, arg_min('doc_id=' || doc_id, 'doc_id=' || doc_id || '/') AS object_key, sha AS sha256, any_value(size) AS content_length,
+              '2024-01-01 06:00:00' AS load_dt,
+              '{{"source_url":"https://example.org/list","sha256":"' || sha || '","content_length":' || any_value(size) || '}}' AS metadata
+       FROM (SELECT doc_id, sha256(coalesce(text, '') || chr(10)) AS sha, strlen(coalesce(text, '')) + 1 AS size FROM {documents}) GROUP BY sha""",
+)
 def register_raw_payload(t: Data) -> DataFrame:
-    """The documents as files of bounded size, registered twice: the second time adds nothing."""
+    """A file per document, registered twice: the second time adds nothing."""
     path = scratch_path(t.spark, "raw")
-    rows = t["documents"].select(F.to_json(F.struct("doc_id", "text")).alias("value"))
-    rows.write.option("maxRecordsPerFile", 200).text(path)
-    raw = payloads.raw_payloads(t.spark, path, "documents")
+    t["documents"].select("doc_id", F.coalesce("text", F.lit("")).alias("value")).write.partitionBy("doc_id").text(path)
+    raw = payloads.raw_payloads(t.spark, path, "documents", "https://example.org/list", "2024-01-01 06:00:00")
     first = payloads.register_payloads(raw.limit(0), raw)
     again = payloads.register_payloads(first, raw)
-    return first.unionByName(again).select("source", "object_key", "sha256", "content_length")
+    key = F.regexp_extract("object_key", r"(doc_id=[^/]*)/", 1).alias("object_key")
+    when = F.date_format("load_dt", "yyyy-MM-dd HH:mm:ss").alias("load_dt")
+    # the time of the file is another on every run
+    metadata = F.regexp_replace("metadata", r'"downloaded_at_utc":"[0-9T:-]{19}",', "").alias("metadata")
+    return first.unionByName(again).select("source", key, "sha256", "content_length", when, metadata)
 
 
 @query(

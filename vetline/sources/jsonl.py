@@ -13,12 +13,14 @@ from vetline.session import materialize
 CORRUPT = "_corrupt_record"
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType, mode: str = "FAILFAST") -> DataFrame:
     """Rows of a (partitioned) JSON-lines folder; blank lines are skipped, a bad line fails.
 
+    ``mode`` is Spark's: with DROPMALFORMED bad lines, which a quarantine holds, are left out.
+
     Declare JSON-valued fields as ``string`` to get them as raw JSON text.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("mode", mode).json(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetline.operators.merge import new_rows_only
 
 
-def raw_payloads(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """One row per file with its text, hash and size."""
-    return with_payload_hash(
+def raw_payloads(spark: SparkSession, path: str, source: str, source_url: str | None = None, load_dt: str | None = None) -> DataFrame:
+    """One row per file with its text, hash, size, load time and what is known of its download as JSON.
+
+    load_dt: a timestamp for all of them; by default the time of the job's statement.
+    """
+    loaded = F.current_timestamp() if load_dt is None else F.lit(load_dt).cast("timestamp")
+    hashed = with_payload_hash(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
@@ -21,6 +25,18 @@ def raw_payloads(spark: SparkSession, path: str, source: str) -> DataFrame:
             F.col("modificationTime").alias("inserted_at"),
         )
     )
+    return hashed.withColumns({"load_dt": loaded, "metadata": payload_metadata(source_url)})
+
+
+def payload_metadata(source_url: str | None = None) -> Column:
+    """The JSON kept with a payload: where it is from, when it was stored, its hash and size."""
+    known = F.struct(
+        F.lit(source_url).cast("string").alias("source_url"),
+        F.date_format(F.to_utc_timestamp("inserted_at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss").alias("downloaded_at_utc"),
+        "sha256",
+        "content_length",
+    )
+    return F.to_json(known, {"ignoreNullFields": "false"})
 
 
 def with_payload_hash(payloads: DataFrame) -> DataFrame:
