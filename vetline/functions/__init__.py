@@ -1,3 +1,4 @@
+from vetline.functions.html import text_nodes, unescape, visible_text_lines
 from vetline.functions.jsonfields import bool_or_null, empty_json_to_null, json_fields
 from vetline.functions.names import (
     date_prefix,
@@ -11,7 +12,7 @@ from vetline.functions.names import (
     trigrams,
 )
 from vetline.functions.status import classify_http_reason, coverage_severity, screening_verdict
-from vetline.functions.text import clean_html_spaced, display_text, strip_tags, visible_text_lines
+from vetline.functions.text import clean_html_spaced, display_text, strip_tags
 
 __all__ = [
     "bool_or_null",
@@ -30,7 +31,9 @@ __all__ = [
     "safe_text",
     "screening_verdict",
     "strip_tags",
+    "text_nodes",
     "trigram_similarity",
     "trigrams",
+    "unescape",
     "visible_text_lines",
 ]

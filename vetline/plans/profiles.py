@@ -85,10 +85,16 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(PIECES), F.lit(0))
 
 
+def _posting(pieces: Column, opened: Column, stretch: Column) -> Column:
+    """What a term and a place of a text are joined on: a text, because distinct texts are found by hash."""
+    return F.concat(pieces.cast("string"), F.lit(":"), F.coalesce(opened.cast("string"), F.lit("")), F.lit(":"), stretch)
+
+
 def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(group_key, pieces, open, stretch)`` a row per term, and ``(profile_id, category, groups)`` a row per profile.
+    """``(group_key, pieces, open, sign, posting)`` a row per term, and ``(profile_id, category, groups)`` a row per profile.
 
-    pieces: how many the stretch has; open: how many characters of the last one count, NULL for all.
+    pieces: how many the term has; open: how many characters of the last one count, NULL for all; sign: whether it
+    starts with a sign.
     """
     # the key of a group is that of its terms, so groups that profiles share are looked for once
     terms = F.array_sort(F.array_distinct(F.transform("terms", lambda term: F.lower(term))))
@@ -110,20 +116,21 @@ def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
         # a sign may be followed by a word or by none
         .otherwise(F.array(whole, F.struct((size + 1).alias("pieces"), F.lit(0).alias("open"))))
     )
-    posted = cut.select("group_key", F.col("term").alias("stretch"), F.explode(forms).alias("form")).select("group_key", "stretch", "form.*")
+    formed = cut.select("group_key", "term", F.explode(forms).alias("form")).select("group_key", "term", "form.*")
+    posted = formed.select("group_key", "pieces", "open", (~F.col("term").rlike(WORD)).alias("sign"), _posting(F.col("pieces"), F.col("open"), F.col("term")).alias("posting"))
     wanted = flat.groupBy("profile_id", "category").agg(F.collect_set("group_key").alias("groups"))
     return posted, wanted
 
 
 def _stretches(shapes: list[tuple[int, int | None]], signs: bool) -> Column:
-    """Distinct ``(pieces, open, stretch)`` of a text in pieces (`_parts`; `_word` says which are words)."""
+    """Distinct postings of a text in pieces (`_parts`; `_word` says which are words)."""
     parts = F.col("_parts")
 
     def word(at: Column) -> Column:
         return F.coalesce(F.get(F.col("_word"), at), F.lit(False))
 
     def form(pieces: int, opened: int | None, stretch: Column) -> Column:
-        return F.struct(F.lit(pieces).alias("pieces"), F.lit(opened).cast("int").alias("open"), stretch.alias("stretch"))
+        return _posting(F.lit(pieces), F.lit(opened).cast("int"), stretch)
 
     def of_shape(pieces: int, opened: int | None) -> Column:
         if pieces == 1 and not (signs and opened is None):
@@ -157,7 +164,7 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
         profiles = profile_rows(df.sparkSession, profiles)
     posted, wanted = postings(profiles)
     posted = materialize(posted, "postings")
-    shape = posted.select("pieces", "open", (~F.col("stretch").rlike(WORD)).alias("sign")).agg(
+    shape = posted.agg(
         F.sort_array(F.collect_set(F.struct("pieces", F.coalesce("open", F.lit(-1)).alias("open")))).alias("shapes"), F.max("sign").alias("signs")
     ).first()
     # one row of the few distinct lengths that terms have
@@ -168,10 +175,9 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
 
     cut = marked.filter(F.col(text).isNotNull()).select("_text_key", _pieces(F.col(text)).alias("_parts"))
     cut = cut.withColumn("_word", F.transform("_parts", lambda part: part.rlike(WORD)))
-    said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]))).alias("s")).select("_text_key", "s.*")
-    same = (F.col("s.pieces") == F.col("p.pieces")) & F.col("s.open").eqNullSafe(F.col("p.open")) & (F.col("s.stretch") == F.col("p.stretch"))
+    said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]))).alias("posting"))
     # texts are told apart by a 128-bit hash: copies of a text are looked at once from here on
-    met = materialize(said.alias("s").join(posted.alias("p"), same).select("_text_key", "group_key").distinct(), "groups_met")
+    met = materialize(said.join(posted, "posting").select("_text_key", "group_key").distinct(), "groups_met")
     # a profile waits under its rarest group, the only one by which texts look it up
     seen = met.groupBy("group_key").agg(F.count("*").alias("texts"))
     ranked = wanted.select("*", F.explode("groups").alias("group_key")).join(seen, "group_key", "left")
