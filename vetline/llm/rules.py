@@ -35,12 +35,12 @@ PRIOR = 2.0
 ROUNDS = 60
 START = {"good": 0.75, "rule": 0.75}
 _GOOD, _BAD = "__good_weight", "__bad_weight"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BLANKS = r"\x20\x09-\x0D"
 
 
 def _count(characters: str) -> Column:
-    """How many of these characters the text holds."""
-    return F.length("body") - F.length(F.translate("body", characters, ""))
+    """How many characters of this class the text holds; runs of others go in one step each."""
+    return F.length(F.regexp_replace("body", f"[^{characters}]+", ""))
 
 
 def _share(part: str, whole: str) -> Column:
@@ -57,14 +57,14 @@ def measures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     words = rows.select(
         "doc_id",
-        F.filter(F.split("body", r"[\x20\x09-\x0D]+"), lambda word: word != "").alias("words"),
-        F.filter(F.split("body", "\n"), lambda line: F.translate(line, " \t\x0b\x0c\r", "") != "").alias("lines"),
-        F.length(F.translate("body", " \t\n\x0b\x0c\r", "")).alias("word_chars"),
+        F.filter(F.split("body", f"[{_BLANKS}]+"), lambda word: word != "").alias("words"),
+        F.filter(F.split("body", "\n"), lambda line: line.rlike(f"[^{_BLANKS}]")).alias("lines"),
+        F.length(F.regexp_replace("body", f"[{_BLANKS}]+", "")).alias("word_chars"),
         _count("#*$%&|<>").alias("n_symbols"),
-        _count(_UPPER).alias("n_upper"),
-        _count(_UPPER.lower()).alias("n_lower"),
+        _count("A-Z").alias("n_upper"),
+        _count(r"\p{L}").alias("n_letters"),
         _count(".!?,;:").alias("n_points"),
-        F.length(F.regexp_replace("body", r"[^\p{L}]+", "")).alias("n_letters"),
+        F.regexp_count("body", F.lit(rf"(?<![^{_BLANKS}])\p{{L}}+[.,;:!?]?(?![^{_BLANKS}])")).alias("n_plain"),
     )
     starts = F.sequence(F.lit(1), F.size("words") - (WINDOW - 1))
     hashed = words.withColumn("hashes", F.transform("words", lambda word: F.xxhash64(word))).withColumn(
@@ -86,12 +86,11 @@ def measures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_repeat_words": F.coalesce(F.aggregate(covered, F.lit(0), lambda total, n: total + n), F.lit(0)),
         "n_upper": F.col("n_upper"),
-        "n_cased": F.col("n_upper") + F.col("n_lower"),
         "n_letters": F.col("n_letters"),
         "n_points": F.col("n_points"),
-        "n_plain": F.size(F.filter("words", lambda word: word.rlike(r"^\p{L}+[.,;:!?]?$"))),
+        "n_plain": F.col("n_plain"),
         "n_lines": F.size("lines"),
-        "n_ended": F.size(F.filter("lines", lambda line: F.rtrim(F.translate(line, "\r\t", "  ")).rlike("[.!?]$"))),
+        "n_ended": F.size(F.filter("lines", lambda line: line.rlike(rf"[.!?][{_BLANKS}]*\z"))),
         "n_kinds": F.size(F.array_distinct("hashes")),
     }
     return repeated.select("doc_id", *[value.cast("long").alias(name) for name, value in counts.items()])
@@ -105,7 +104,7 @@ def rules() -> dict[str, Column]:
 
     word, symbols, points = _share("word_chars", "n_words"), _share("n_symbols", "n_words"), _share("n_points", "n_words")
     again, copies = _share("n_repeat_words", "n_words"), _share("n_dup_lines", "n_lines")
-    upper, ended, kinds = _share("n_upper", "n_cased"), _share("n_ended", "n_lines"), _share("n_kinds", "n_words")
+    upper, ended, kinds = _share("n_upper", "n_letters"), _share("n_ended", "n_lines"), _share("n_kinds", "n_words")
     plain, letters = _share("n_plain", "n_words"), _share("n_letters", "word_chars")
     # a long text repeats more of its words
     fresh = kinds * F.sqrt(F.col("n_words") / 100)
