@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -400,3 +401,63 @@ def test_quoted_keys_load_and_unkeyed_lines_do_not(spark, tmp_path):
     good, bad = jsonl.read_jsonl_quarantine(spark, str(tmp_path), "id bigint, n string", ["id"])
     assert rows(good, "id", "n") == [(101, "x"), (102, "5")]
     assert rows(bad, "line_no", "reason") == [(4, "no key"), (5, "no key"), (6, "not JSON")]
+
+
+def test_variants_are_parsed_once_and_read_by_path(spark):
+    from vetline.plans import variants
+
+    records = [
+        (1, "a", '{"id":"7","name":"Acme"}', '{"from":1.5,"to":null,"currency":"KZT"}'),
+        (2, "b", '{"name":"no id"}', None),
+        (3, "c", "{broken", "[]"),
+        (4, "d", '{"id":8}', '{"from":"x"}'),
+    ]
+    rest = {name: F.lit(None).cast("string") for name in ("area", "schedule", "employment", "experience", "published_at", "search_profile", "expected_risk_category")}
+    dates = {name: F.lit(None).cast("date") for name in ("active_from", "active_to", "load_dt")}
+    bronze = spark.createDataFrame(records, "id int, name string, employer string, salary string").withColumns({**rest, **dates, "archived": F.lit(False)})
+    path = scratch_path(spark, "variants")
+    variants.with_variants(bronze, variants.LIST_JSON).write.parquet(path)
+    flat = variants.flatten_vacancies(spark.read.parquet(path))
+    assert rows(flat, "vacancy_id", "employer_id", "salary_from", "salary_currency") == [(1, 7, Decimal("1.50"), "KZT"), (4, 8, None, None)]
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "from_json" not in plan
+
+
+def test_columns_are_discovered_from_the_data(spark):
+    from vetline.plans import variants
+
+    texts = ['{"a":1,"b":"x"}', '{"a":2.5,"c":{"d":1}}', '{"b":7,"e f":true}', None, "[1]", '{"a":null}', "{broken"]
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", F.try_parse_json("t").alias("v"))
+    objects = table.filter("schema_of_variant(v) LIKE 'OBJECT%'")
+    got = variants.discovered_columns(objects, "v", ["i"])
+    assert set(got.columns) == {"i", "a", "b", "c", "e f"}
+    assert rows(got.select("i", F.col("a").cast("double"), "b", "c", "`e f`")) == sorted(
+        [(0, 1.0, "x", None, None), (1, 2.5, None, '{"d":1}', None), (2, None, "7", None, True), (5, None, None, None, None)], key=repr
+    )
+    assert variants.discovered_columns(objects.filter("false"), "v", ["i"]).columns == ["i"]
+
+
+def test_bitmaps_merge_and_count_like_ids(spark):
+    from vetline import operators as op
+
+    expected = spark.createDataFrame([("d1", str(i)) for i in [*range(0, 100_000, 7), 5, 5]] + [("d1", None), ("d1", "x"), ("d2", "1")], "day string, id string")
+    loaded = [spark.createDataFrame([("d1", str(i)) for i in part], "day string, id string") for part in (range(0, 50_000, 14), range(40_000, 100_001, 2))]
+    merged = op.merge_bitmaps(op.id_bitmaps(loaded[0], "id", ["day"]).union(op.id_bitmaps(loaded[1], "id", ["day"])), ["day"])
+    want, held = {*range(0, 100_000, 7), 5}, {*range(0, 50_000, 14), *range(40_000, 100_001, 2)}
+    got = rows(op.bitmap_coverage(op.id_bitmaps(expected, "id", ["day"]), merged, ["day"]))
+    assert got == [("d1", len(want), len(held), len(want - held)), ("d2", 1, 0, 1)]
+    # one row per bucket and day in the shuffle, not one per id
+    assert merged.count() <= 100_000 // 32_768 + 2
+    assert op.bitmap_coverage(merged.filter("false"), merged.filter("false"), ["day"]).count() == 0
+
+
+def test_a_load_stops_at_a_missing_value_before_it_is_read(spark):
+    from vetline.operators.quality import QualityError, store_checked, store_observed
+
+    table = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "id int, name string")
+    stored, nulls = store_observed(table, "t", ["id", "name"])
+    assert nulls == {"id": 1, "name": 1} and stored.count() == 3
+    with pytest.raises(QualityError, match="id"):
+        store_checked(table, "t", ["id"])
+    assert store_checked(table.filter("id IS NOT NULL"), "t", ["id"]).count() == 2
+    assert store_observed(table.filter("false"), "t", ["id"])[1] == {"id": 0}

@@ -10,7 +10,9 @@ from vetline.catalog.registry import Data, query
 from vetline.operators.coverage import missing_ids
 from vetline.operators.incremental import newest_file_per_date, rows_since_max_lazy
 from vetline.plans import vacancies as vac
+from vetline.plans import variants
 from vetline.plans.manifest import build_manifest
+from vetline.session import materialize
 
 CUT = "1998-06-01"  # rows loaded before this day form the "old" side of incremental and upsert queries
 
@@ -75,6 +77,32 @@ def flatten_employer(t: Data) -> DataFrame:
     return vac.stage_employers(vac.project_details(t["details_bronze"]))
 
 
+@query("flatten_vacancy_variant", FLAT_VACANCY)
+def flatten_vacancy_variant(t: Data) -> DataFrame:
+    """Through a stored table with VARIANT columns: parsed when landed, read by path."""
+    landed = materialize(variants.with_variants(t["vacancy_bronze"], variants.LIST_JSON), "variant_bronze")
+    return variants.flatten_vacancies(landed)
+
+
+@query(
+    "discover_columns",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS customer, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey::varchar ELSE o_orderstatus END AS mixed,
+              CASE WHEN o_orderkey % 5 = 0 THEN 0.5 ELSE o_custkey::double END AS number, o_orderkey % 7 = 0 AS flag
+       FROM {orders}""",
+)
+def discover_columns(t: Data) -> DataFrame:
+    """Records with a missing key, with numbers and texts in one field, and with whole and broken numbers in one."""
+    text = F.expr(
+        """concat('{', CASE WHEN o_orderkey % 3 <> 0 THEN concat('"customer":', o_custkey, ',') ELSE '' END,
+                  '"mixed":', CASE WHEN o_orderkey % 2 = 0 THEN concat(o_custkey, '') ELSE concat('"', o_orderstatus, '"') END,
+                  ',"number":', CASE WHEN o_orderkey % 5 = 0 THEN '0.5' ELSE concat(o_custkey, '') END,
+                  ',"flag":', o_orderkey % 7 = 0, '}')"""
+    )
+    landed = materialize(t["orders"].select("o_orderkey", F.try_parse_json(text).alias("record")), "records")
+    found = variants.discovered_columns(landed, "record", ["o_orderkey"])
+    return found.withColumns({"number": F.col("number").cast("double"), "customer": F.col("customer").cast("bigint")})
+
+
 def nested_items(t: Data) -> DataFrame:
     """List records with real nested objects, as an API client would hold them."""
     rows = t["list_bronze"]
@@ -310,17 +338,23 @@ def max_mtime_by_dt(t: Data) -> DataFrame:
     return newest_file_per_date(t["file_keys"])
 
 
-@query(
-    "distinct_skills",
-    """SELECT DISTINCT id AS vacancy_id, trim(json_extract_string(x, '$.name')) AS skill_name,
+DISTINCT_SKILLS = """SELECT DISTINCT id AS vacancy_id, trim(json_extract_string(x, '$.name')) AS skill_name,
               load_dt AS source_load_dt, inserted_at AS ingested_at
        FROM (SELECT id, load_dt, inserted_at, unnest(from_json(key_skills, '["json"]')) AS x FROM {details_bronze})
-       WHERE trim(json_extract_string(x, '$.name')) <> ''""",
-)
+       WHERE trim(json_extract_string(x, '$.name')) <> ''"""
+
+
+@query("distinct_skills", DISTINCT_SKILLS)
 def distinct_skills(t: Data) -> DataFrame:
     return vac.stage_skills(vac.project_details(t["details_bronze"]))
 
 
+@query("distinct_skills_variant", DISTINCT_SKILLS)
+def distinct_skills_variant(t: Data) -> DataFrame:
+    landed = materialize(variants.with_variants(t["details_bronze"], variants.DETAIL_JSON), "variant_details")
+    return variants.skills(landed)
+
+
 def _map_text(column: str) -> F.Column:
     entry = lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
     return F.array_join(F.transform(F.map_entries(column), entry), ",").alias(column)
@@ -369,6 +403,19 @@ def coverage_report(t: Data) -> DataFrame:
     )
 
 
+@query(
+    "coverage_bitmaps",
+    """SELECT source, count(*) AS expected_count, count(l.doc_id) AS loaded_count, count(*) - count(l.doc_id) AS missing_count
+       FROM (SELECT DISTINCT doc_id, source FROM {documents}) d LEFT JOIN (SELECT DISTINCT doc_id FROM {labels}) l USING (doc_id) GROUP BY source""",
+)
+def coverage_bitmaps(t: Data) -> DataFrame:
+    """Per source; the loaded ids come in two parts whose bitmaps are merged."""
+    expected = op.id_bitmaps(t["documents"], "doc_id", ["source"])
+    held = t["documents"].select("doc_id", "source").join(t["labels"].select("doc_id", "quality"), "doc_id")
+    parts = [op.id_bitmaps(held.filter(part), "doc_id", ["source"]) for part in ("quality = 1", "quality IS DISTINCT FROM 1")]
+    return op.bitmap_coverage(expected, op.merge_bitmaps(parts[0].union(parts[1]), ["source"]), ["source"])
+
+
 @query(
     "coverage_severity",
     """SELECT source, count(*) AS expected, count(l.doc_id) AS loaded, count(*) - count(l.doc_id) AS missing,
@@ -710,6 +757,21 @@ def dq_not_null(t: Data) -> DataFrame:
     return op.null_counts(t["list_bronze"], ["name", "salary", "employer", "schedule", "expected_risk_category"])
 
 
+@query(
+    "dq_observed",
+    """SELECT unnest(['name', 'salary', 'employer', 'schedule', 'expected_risk_category']) AS column_name,
+              unnest([count(*) - count(name), count(*) - count(salary), count(*) - count(employer),
+                      count(*) - count(schedule), count(*) - count(expected_risk_category)]) AS failures
+       FROM {list_bronze}""",
+)
+def dq_observed(t: Data) -> DataFrame:
+    """The same counts, taken while the rows are stored."""
+    from vetline.operators.quality import store_observed
+
+    _, nulls = store_observed(t["list_bronze"], "list_bronze", ["name", "salary", "employer", "schedule", "expected_risk_category"])
+    return t.spark.createDataFrame(list(nulls.items()), "column_name string, failures bigint")
+
+
 @query(
     "dq_unique",
     """SELECT l_orderkey, l_partkey, count(*) AS n FROM {lineitem} GROUP BY 1, 2 HAVING count(*) > 1""",

@@ -2,9 +2,12 @@ from vetline.operators.batches import assign_batches, enrich_from_manifest
 from vetline.operators.coverage import (
     batch_status_counts,
     batch_statuses,
+    bitmap_coverage,
     coverage_report,
     distinct_ids,
     failure_counts,
+    id_bitmaps,
+    merge_bitmaps,
     missing_ids,
     profile_counts,
     sample_missing_ids,
@@ -20,6 +23,7 @@ __all__ = [
     "Rule",
     "assign_batches",
     "batch_status_counts",
+    "bitmap_coverage",
     "check_constraints",
     "concat_batches",
     "concat_keep_first",
@@ -28,6 +32,8 @@ __all__ = [
     "distinct_ids",
     "duplicate_keys",
     "enrich_from_manifest",
+    "id_bitmaps",
+    "merge_bitmaps",
     "existing_columns",
     "explode_json_array",
     "failure_counts",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -151,3 +153,37 @@ def coverage_report(
             "failures_by_status",
         )
     )
+
+
+def id_bitmaps(df: DataFrame, id_column: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, bucket, ids)``: the whole-number ids as bitmaps, a row per 32768 ids in reach.
+
+    Bitmaps of days or batches merge by :func:`merge_bitmaps` without another look at the ids.
+    """
+    number = F.col(id_column).try_cast("bigint")
+    numbered = df.filter(number.isNotNull())
+    return numbered.groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("ids")
+    )
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("ids").alias("ids"))
+
+
+def bitmap_coverage(expected: DataFrame, loaded: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, expected_count, loaded_count, missing_count)`` from the bitmaps of both sides.
+
+    Missing are the ids of either side less those that were loaded.
+    """
+    nothing = F.lit(None).cast("binary")
+    both = expected.select(*keys, "bucket", F.col("ids").alias("wanted"), nothing.alias("held"), "ids").unionByName(
+        loaded.select(*keys, "bucket", nothing.alias("wanted"), F.col("ids").alias("held"), "ids")
+    )
+    merged = both.groupBy(*keys, "bucket").agg(*[F.bitmap_or_agg(name).alias(name) for name in ("wanted", "held", "ids")])
+    count = {name: F.bitmap_count(name) for name in ("wanted", "held", "ids")}
+    return merged.groupBy(*keys).agg(
+        F.sum(count["wanted"]).alias("expected_count"),
+        F.sum(count["held"]).alias("loaded_count"),
+        F.sum(count["ids"] - count["held"]).alias("missing_count"),
+    )

@@ -5,9 +5,39 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from vetline.session import materialize
+
+
+class QualityError(ValueError):
+    """Rows that break a rule; ``failures`` counts them by column."""
+
+    def __init__(self, name: str, failures: Mapping[str, int]):
+        super().__init__(f"{name}: NULL in {dict(failures)}")
+        self.failures = dict(failures)
+
+
+def store_observed(df: DataFrame, name: str, not_null: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """The rows, stored, and the NULLs of each column, counted while they were written: no scan of their own.
+
+    A task that is run again may count twice, so that a count says for certain only whether there is any.
+    """
+    counted = Observation(f"{name}_nulls")
+    checks = [F.count_if(F.col(column).isNull()).alias(f"nulls_{i}") for i, column in enumerate(not_null)]
+    stored = materialize(df.observe(counted, F.count(F.lit(1)).alias("rows"), *checks), name)
+    found = counted.get
+    return stored, {column: found[f"nulls_{i}"] for i, column in enumerate(not_null)}
+
+
+def store_checked(df: DataFrame, name: str, not_null: Sequence[str]) -> DataFrame:
+    """The rows, stored; a NULL in one of the columns stops the job before anything else reads them."""
+    stored, failures = store_observed(df, name, not_null)
+    if any(failures.values()):
+        raise QualityError(name, {column: n for column, n in failures.items() if n})
+    return stored
+
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per column, all columns in one pass."""

@@ -66,24 +66,29 @@ def gram_order(listed: DataFrame) -> bytes:
     return bytes(table)
 
 
-def signed_values(values: DataFrame, side: str, order: bytes, threshold: float) -> DataFrame:
-    """``(<side>_hash, <side>_size, <side>_bits, <side>_grams)``: how many trigrams, their bitmap, and the signature."""
+def signed_values(values: DataFrame, side: str, order: bytes, threshold: float, sizes: tuple[int, int] | None = None) -> DataFrame:
+    """``(<side>_hash, <side>_size, <side>_bits, <side>_grams)``: how many trigrams, their bitmap, and the signature.
+
+    sizes: the least and most trigrams of the other side; values that can be similar to none of them are left out
+    before they are signed.
+    """
 
     def ranked(gram: Column) -> Column:
         rank = F.substring(F.lit(order), 2 * _bucket(gram) + 1, F.lit(2))
         return F.struct(rank.alias("rank"), gram.alias("gram"))
 
     def word(k: int) -> Column:
-        def with_bit(bits: Column, gram: Column) -> Column:
-            place = F.pmod(F.xxhash64(gram, F.lit(1)), F.lit(64 * WORDS)).cast("int")
-            return F.when(F.floor(place / 64) == k, bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64))))).otherwise(bits)
-
-        return F.aggregate("grams", F.lit(0).cast("long"), with_bit)
+        own = F.filter("places", lambda place: F.shiftright(place, 6) == k)
+        bit = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda bits, place: bits.bitwiseOR(bit(place)))
 
-    cut = values.select(f"{side}_hash", packed_trigrams(f"{side}_value").alias("grams"))
     size = F.size("grams")
-    kept = F.slice(F.array_sort(F.transform("grams", ranked)), F.lit(1), F.greatest(size - _outside_signature(size, threshold), F.lit(0)))
-    return cut.filter(size > 0).select(
+    cut = values.select(f"{side}_hash", _once(packed_trigrams(f"{side}_value")).alias("grams")).filter(size > 0)
+    if sizes is not None:
+        cut = cut.filter(size.between(threshold * sizes[0] - SLACK, sizes[1] / threshold + SLACK))
+    kept = F.slice(F.sort_array(F.transform("grams", ranked)), F.lit(1), F.greatest(size - _outside_signature(size, threshold), F.lit(0)))
+    placed = cut.withColumn("places", F.transform("grams", lambda gram: F.pmod(F.xxhash64(gram, F.lit(1)), F.lit(64 * WORDS)).cast("int")))
+    return placed.select(
         f"{side}_hash", size.alias(f"{side}_size"), F.struct(*[word(k).alias(f"w{k}") for k in range(WORDS)]).alias(f"{side}_bits"), kept["gram"].alias(f"{side}_grams")
     )
 
@@ -155,7 +160,10 @@ def similar_values(
     listed = materialize(_distinct_values(right, right_value, "right"), "listed")
     order = gram_order(listed)
     index = materialize(signed_values(listed, "right", order, threshold), "index")
-    candidates = candidate_rows(signed_values(probes, "left", order, threshold), index, threshold, broadcast_limit).distinct()
+    least, most = index.agg(F.min("right_size"), F.max("right_size")).first()
+    # stored, so that no rule of the optimizer moves the work on a value behind the explosion
+    signed = materialize(signed_values(probes, "left", order, threshold, (least or 0, most or 0)), "signed")
+    candidates = candidate_rows(signed, index, threshold, broadcast_limit).distinct()
     return scored_pairs(materialize(candidates, "candidates"), probes, listed, threshold)
 
 

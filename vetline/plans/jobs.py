@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from vetline.operators.coverage import coverage_report
 from vetline.operators.merge import Rule
 from vetline.operators.pairstore import PairStore
+from vetline.operators.quality import store_checked
 from vetline.plans import risk, sanctions, screening, vacancies
 from vetline.plans.manifest import build_manifest, file_order
-from vetline.session import materialize
 from vetline.sources.jsonl import read_jsonl, read_jsonl_quarantine
 from vetline.sources.listing import file_listing
 from vetline.sources.sinks import replace_table
@@ -92,7 +92,8 @@ def load_day(
     def landed(entity: str, schema: str) -> DataFrame:
         good, bad = read_jsonl_quarantine(spark, f"{landing}/{entity}/load_type={load_type}/dt={ds}", schema, ["id"])
         bad.write.mode("overwrite").json(f"{warehouse}/quarantine/{entity}/load_type={load_type}/dt={ds}")
-        return materialize(good.withColumns({"load_dt": day, "load_type": F.lit(load_type)}), entity)
+        # stored once, and checked on the way: a row without key or date stops the load before any table changes
+        return store_checked(good.withColumns({"load_dt": day, "load_type": F.lit(load_type)}), entity, ["id", "load_dt"])
 
     bronze = vacancies.with_validity(landed("vacancies_list", BRONZE_LIST))
     bronze_tables["vacancies"].upsert(bronze, _newest("published_at", "name"), {"active_from": Rule.KEEP_FIRST})

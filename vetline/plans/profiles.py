@@ -143,11 +143,12 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool) -> Column:
             free = (word(at) | ~word(at - 1)) if signs else word(at)
             if opened is None:
                 free = free & (word(last) | ~word(last + 1))
-                held = F.slice(parts, at + 1, pieces)
+                held = [F.get(parts, at + i) for i in range(pieces)]
             else:
                 free = free & word(last) & (F.length(F.get(parts, last)) >= opened)
-                held = F.concat(F.slice(parts, at + 1, pieces - 1), F.array(F.left(F.get(parts, last), F.lit(opened))))
-            return F.when(free, form(pieces, opened, F.array_join(held, "")))
+                held = [*(F.get(parts, at + i) for i in range(pieces - 1)), F.left(F.get(parts, last), F.lit(opened))]
+            # piece by piece: to slice an array copies all of it
+            return F.when(free, form(pieces, opened, F.concat(*held)))
 
         places = F.when(F.size(parts) >= pieces, F.sequence(F.lit(0), F.size(parts) - pieces)).otherwise(F.array().cast("array<int>"))
         return F.array_compact(F.transform(places, at_place))
