@@ -66,11 +66,12 @@ def measures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
         _count(".!?,;:").alias("n_points"),
         F.regexp_count("body", F.lit(rf"(?<![^{_BLANKS}])\p{{L}}+[.,;:!?]?(?![^{_BLANKS}])")).alias("n_plain"),
     )
-    starts = F.sequence(F.lit(1), F.size("words") - (WINDOW - 1))
+    # word by word: to slice an array copies all of it
+    starts = F.sequence(F.lit(0), F.size("words") - WINDOW)
     hashed = words.withColumn("hashes", F.transform("words", lambda word: F.xxhash64(word))).withColumn(
-        "windows", F.when(F.size("words") > WINDOW, F.transform(starts, lambda i: F.xxhash64(F.slice("hashes", i, WINDOW))))
+        "windows", F.when(F.size("words") > WINDOW, F.transform(starts, lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(WINDOW)])))
     )
-    placed = F.transform(starts, lambda i: F.struct(F.concat_ws(" ", F.slice("words", i, WINDOW)).alias("window"), i.alias("at")))
+    placed = F.transform(starts, lambda i: F.struct(F.concat_ws(" ", *[F.get("words", i + k) for k in range(WINDOW)]).alias("window"), i.alias("at")))
     ordered = hashed.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(placed)))
 
     def again(own: Column, i: Column) -> Column:
