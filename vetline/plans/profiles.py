@@ -26,6 +26,7 @@ from vetline.session import materialize
 
 PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]"
 WORD = r"^[\p{L}\p{N}]"
+SLOTS = 1 << 12  # of first pieces; a constant of the plan
 PROFILE_SCHEMA = "profile_id string, groups array<array<string>>, expected_risk_category string, enabled boolean"
 
 
@@ -85,16 +86,20 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(PIECES), F.lit(0))
 
 
+def _slot(lead: Column) -> Column:
+    return F.pmod(F.xxhash64(lead), F.lit(SLOTS)).cast("int")
+
+
 def _posting(pieces: Column, opened: Column, stretch: Column) -> Column:
     """What a term and a place of a text are joined on: a text, because distinct texts are found by hash."""
     return F.concat(pieces.cast("string"), F.lit(":"), F.coalesce(opened.cast("string"), F.lit("")), F.lit(":"), stretch)
 
 
 def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(group_key, pieces, open, sign, posting)`` a row per term, and ``(profile_id, category, groups)`` a row per profile.
+    """``(group_key, pieces, open, sign, slot, posting)`` a row per term, and ``(profile_id, category, groups)`` a row per profile.
 
     pieces: how many the term has; open: how many characters of the last one count, NULL for all; sign: whether it
-    starts with a sign.
+    starts with a sign; slot: that of its first piece.
     """
     # the key of a group is that of its terms, so groups that profiles share are looked for once
     terms = F.array_sort(F.array_distinct(F.transform("terms", lambda term: F.lower(term))))
@@ -117,14 +122,25 @@ def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
         .otherwise(F.array(whole, F.struct((size + 1).alias("pieces"), F.lit(0).alias("open"))))
     )
     formed = cut.select("group_key", "term", F.explode(forms).alias("form")).select("group_key", "term", "form.*")
-    posted = formed.select("group_key", "pieces", "open", (~F.col("term").rlike(WORD)).alias("sign"), _posting(F.col("pieces"), F.col("open"), F.col("term")).alias("posting"))
+    lead = F.when(F.col("pieces") == 1, F.col("term")).otherwise(F.regexp_extract(F.lower("term"), PIECES, 0))
+    posted = formed.select("group_key", "pieces", "open", (~F.col("term").rlike(WORD)).alias("sign"), _slot(lead).alias("slot"), _posting(F.col("pieces"), F.col("open"), F.col("term")).alias("posting"))
     wanted = flat.groupBy("profile_id", "category").agg(F.collect_set("group_key").alias("groups"))
     return posted, wanted
 
 
-def _stretches(shapes: list[tuple[int, int | None]], signs: bool) -> Column:
-    """Distinct postings of a text in pieces (`_parts`; `_word` says which are words)."""
+def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[int]) -> Column:
+    """Distinct postings of a text in pieces (`_parts`; `_word` says which are words).
+
+    slots: those that first pieces of terms have. Most places of a text have another one and stop there.
+    """
     parts = F.col("_parts")
+    taken = bytearray(SLOTS)
+    for slot in slots:
+        taken[slot] = 1
+    table = F.lit(bytes(taken))
+
+    def asked(lead: Column) -> Column:
+        return F.substring(table, _slot(lead) + 1, F.lit(1)) == F.lit(b"\x01")
 
     def word(at: Column) -> Column:
         return F.coalesce(F.get(F.col("_word"), at), F.lit(False))
@@ -134,8 +150,9 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool) -> Column:
 
     def of_shape(pieces: int, opened: int | None) -> Column:
         if pieces == 1 and not (signs and opened is None):
-            words = F.filter(F.array_distinct(parts), lambda part: part.rlike(WORD) & (F.length(part) >= (opened or 0)))
-            return F.transform(words, lambda part: form(1, opened, part if opened is None else F.left(part, F.lit(opened))))
+            start = lambda part: part if opened is None else F.left(part, F.lit(opened))
+            words = F.filter(F.array_distinct(parts), lambda part: asked(start(part)) & part.rlike(WORD) & (F.length(part) >= (opened or 0)))
+            return F.transform(words, lambda part: form(1, opened, start(part)))
 
         def at_place(at: Column) -> Column:
             last = at + (pieces - 1)
@@ -147,8 +164,9 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool) -> Column:
             else:
                 free = free & word(last) & (F.length(F.get(parts, last)) >= opened)
                 held = [*(F.get(parts, at + i) for i in range(pieces - 1)), F.left(F.get(parts, last), F.lit(opened))]
+            first = held[0] if pieces == 1 else F.get(parts, at)
             # piece by piece: to slice an array copies all of it
-            return F.when(free, form(pieces, opened, F.concat(*held)))
+            return F.when(asked(first) & free, form(pieces, opened, F.concat(*held)))
 
         places = F.when(F.size(parts) >= pieces, F.sequence(F.lit(0), F.size(parts) - pieces)).otherwise(F.array().cast("array<int>"))
         return F.array_compact(F.transform(places, at_place))
@@ -166,9 +184,9 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
     posted, wanted = postings(profiles)
     posted = materialize(posted, "postings")
     shape = posted.agg(
-        F.sort_array(F.collect_set(F.struct("pieces", F.coalesce("open", F.lit(-1)).alias("open")))).alias("shapes"), F.max("sign").alias("signs")
+        F.sort_array(F.collect_set(F.struct("pieces", F.coalesce("open", F.lit(-1)).alias("open")))).alias("shapes"), F.max("sign").alias("signs"), F.collect_set("slot").alias("slots")
     ).first()
-    # one row of the few distinct lengths that terms have
+    # one row: the few distinct lengths that terms have, and SLOTS numbers at most
     shapes = [(s["pieces"], None if s["open"] < 0 else s["open"]) for s in shape["shapes"]]
     marked = df.withColumn("_text_key", F.unhex(F.md5(text)))
     if not shapes:
@@ -176,7 +194,7 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
 
     cut = marked.filter(F.col(text).isNotNull()).select("_text_key", _pieces(F.col(text)).alias("_parts"))
     cut = cut.withColumn("_word", F.transform("_parts", lambda part: part.rlike(WORD)))
-    said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]))).alias("posting"))
+    said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]), shape["slots"])).alias("posting"))
     # texts are told apart by a 128-bit hash: copies of a text are looked at once from here on
     met = materialize(said.join(posted, "posting").select("_text_key", "group_key").distinct(), "groups_met")
     # a profile waits under its rarest group, the only one by which texts look it up
