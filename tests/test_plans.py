@@ -461,3 +461,40 @@ def test_a_load_stops_at_a_missing_value_before_it_is_read(spark):
         store_checked(table, "t", ["id"])
     assert store_checked(table.filter("id IS NOT NULL"), "t", ["id"]).count() == 2
     assert store_observed(table.filter("false"), "t", ["id"])[1] == {"id": 0}
+
+
+def test_the_manifest_grows_as_files_land(spark, tmp_path):
+    import os
+    import shutil
+
+    from vetline.streaming.manifest import manifest_store, stream_manifest
+
+    landing, at = tmp_path / "vacancies_list", iter(range(1_700_000_000, 1_800_000_000, 60))
+
+    def land(day, name, records):
+        folder = landing / "load_type=daily" / f"dt={day}"
+        folder.mkdir(parents=True, exist_ok=True)
+        path = folder / name
+        path.write_text("\n".join([json.dumps(r) for r in records] + ["{broken"]))
+        stamp = next(at)
+        os.utime(path, (stamp, stamp))
+
+    def take(store, checkpoint, files=1000):
+        stream_manifest(spark, str(landing), store, str(tmp_path / checkpoint), files_per_trigger=files)
+        return rows(store.read(), "vacancy_id", "dt", "search_profile")
+
+    item = lambda i, profile: {"id": i, "search_profile": profile}
+    store = manifest_store(spark, str(tmp_path / "manifest"), buckets=2)
+    land("2026-01-04", "b.jsonl", [item("1", "first"), item("1", "twice"), item("2", "x"), {"search_profile": "no id"}, item("", "empty")])
+    assert take(store, "one") == [("1", D(2026, 1, 4), "first"), ("2", D(2026, 1, 4), "x")]
+    land("2026-01-04", "a.jsonl", [item("1", "later file"), item("3", "y")])
+    land("2026-01-05", "a.jsonl", [item("1", "next day")])
+    want = [("1", D(2026, 1, 4), "first"), ("1", D(2026, 1, 5), "next day"), ("2", D(2026, 1, 4), "x"), ("3", D(2026, 1, 4), "y")]
+    assert take(store, "one") == want
+    assert take(store, "one") == want  # nothing new
+    # from the start, file by file, and replayed over a store that has all of it: the same
+    assert take(manifest_store(spark, str(tmp_path / "again"), buckets=2), "two", files=1) == want
+    assert take(store, "three", files=1) == want
+    # a failure between the store and the end of the batch: its commit is missing, the batch runs again
+    shutil.rmtree(tmp_path / "one" / "commits")
+    assert take(store, "one") == want
