@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from vetline.session import materialize
 
-WINDOW = 8
+WINDOW = 8  # a power of two
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 THRESHOLD = 0.5
@@ -66,11 +66,15 @@ def measures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
         _count(".!?,;:").alias("n_points"),
         F.regexp_count("body", F.lit(rf"(?<![^{_BLANKS}])\p{{L}}+[.,;:!?]?(?![^{_BLANKS}])")).alias("n_plain"),
     )
-    # word by word: to slice an array copies all of it
+    # hashes of two, four and eight words from neighbours in one pass each: time follows the length of the text
+    hashed = words.withColumn("hashes", F.transform("words", lambda word: F.xxhash64(word)))
+    hashed = hashed.withColumn("windows", F.col("hashes"))
+    for step in (1, 2, 4):
+        behind = F.slice("windows", F.lit(step + 1), F.greatest(F.size("windows") - step, F.lit(0)))
+        hashed = hashed.withColumn("windows", F.zip_with("windows", behind, lambda own, other: F.xxhash64(own, other)))
+    hashed = hashed.withColumn("windows", F.when(F.size("words") > WINDOW, F.slice("windows", F.lit(1), F.size("words") - (WINDOW - 1))))
     starts = F.sequence(F.lit(0), F.size("words") - WINDOW)
-    hashed = words.withColumn("hashes", F.transform("words", lambda word: F.xxhash64(word))).withColumn(
-        "windows", F.when(F.size("words") > WINDOW, F.transform(starts, lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(WINDOW)])))
-    )
+    # word by word: to slice an array copies all of it
     placed = F.transform(starts, lambda i: F.struct(F.concat_ws(" ", *[F.get("words", i + k) for k in range(WINDOW)]).alias("window"), i.alias("at")))
     ordered = hashed.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(placed)))
 
