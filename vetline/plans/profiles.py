@@ -129,7 +129,7 @@ def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[int]) -> Column:
-    """Distinct postings of a text in pieces (`_parts`; `_word` says which are words).
+    """Distinct postings of a text in pieces (`_parts`; `_distinct` has each once).
 
     slots: those that first pieces of terms have. Most places of a text have another one and stop there.
     """
@@ -143,7 +143,7 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[in
         return F.substring(table, _slot(lead) + 1, F.lit(1)) == F.lit(b"\x01")
 
     def word(at: Column) -> Column:
-        return F.coalesce(F.get(F.col("_word"), at), F.lit(False))
+        return F.coalesce(F.get(parts, at).rlike(WORD), F.lit(False))
 
     def form(pieces: int, opened: int | None, stretch: Column) -> Column:
         return _posting(F.lit(pieces), F.lit(opened).cast("int"), stretch)
@@ -151,7 +151,7 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[in
     def of_shape(pieces: int, opened: int | None) -> Column:
         if pieces == 1 and not (signs and opened is None):
             start = lambda part: part if opened is None else F.left(part, F.lit(opened))
-            words = F.filter(F.array_distinct(parts), lambda part: asked(start(part)) & part.rlike(WORD) & (F.length(part) >= (opened or 0)))
+            words = F.filter("_distinct", lambda part: asked(start(part)) & part.rlike(WORD) & (F.length(part) >= (opened or 0)))
             return F.transform(words, lambda part: form(1, opened, start(part)))
 
         def at_place(at: Column) -> Column:
@@ -164,12 +164,11 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[in
             else:
                 free = free & word(last) & (F.length(F.get(parts, last)) >= opened)
                 held = [*(F.get(parts, at + i) for i in range(pieces - 1)), F.left(F.get(parts, last), F.lit(opened))]
-            first = held[0] if pieces == 1 else F.get(parts, at)
             # piece by piece: to slice an array copies all of it
-            return F.when(asked(first) & free, form(pieces, opened, F.concat(*held)))
+            return F.when(free, form(pieces, opened, F.concat(*held)))
 
         places = F.when(F.size(parts) >= pieces, F.sequence(F.lit(0), F.size(parts) - pieces)).otherwise(F.array().cast("array<int>"))
-        return F.array_compact(F.transform(places, at_place))
+        return F.array_compact(F.transform(F.filter(places, lambda at: asked(F.get(parts, at))), at_place))
 
     return F.array_distinct(F.concat(*[of_shape(pieces, opened) for pieces, opened in shapes]))
 
@@ -193,7 +192,7 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
         return marked.filter("false").withColumns({"search_profile": F.lit(None).cast("string"), "expected_risk_category": F.lit(None).cast("string")}).drop("_text_key")
 
     cut = marked.filter(F.col(text).isNotNull()).select("_text_key", _pieces(F.col(text)).alias("_parts"))
-    cut = cut.withColumn("_word", F.transform("_parts", lambda part: part.rlike(WORD)))
+    cut = cut.withColumn("_distinct", F.array_distinct("_parts"))
     said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]), shape["slots"])).alias("posting"))
     # texts are told apart by a 128-bit hash: copies of a text are looked at once from here on
     met = materialize(said.join(posted, "posting").select("_text_key", "group_key").distinct(), "groups_met")
