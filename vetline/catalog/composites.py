@@ -15,6 +15,7 @@ from vetline.plans.profiles import Profile, enabled_profiles, tag_profiles
 
 # --- risk signals ------------------------------------------------------------------------------
 
+# Names of signals, levels and actions, thresholds and output columns, in this SQL and the queries below.
 RISK = f"""
 SELECT *, high + vague + domain AS risk_warning_count, missing + 0 AS risk_critical_count,
        CASE WHEN missing = 1 THEN 'CRITICAL' WHEN high + vague + domain > 0 THEN 'WARNING' ELSE 'OK' END AS risk_level,

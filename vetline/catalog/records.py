@@ -118,6 +118,7 @@ def nested_items(t: Data) -> DataFrame:
     )
 
 
+# A part of the columns of a list record.
 WANTED = [
     "id", "name", "employer.name", "employer.id", "employer.trusted", "area.name", "area.id", "address.raw",
     "salary.from", "salary.to", "salary.currency", "experience.name", "published_at", "created_at", "archived",

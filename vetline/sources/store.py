@@ -9,7 +9,8 @@ table, which makes a replay after a failure harmless.
 
 The number of buckets and the key are stored with the table; a caller who names others is refused. So are rows
 with a null in their key, which could not be told apart on a replay. Two upserts at a time are refused too: the
-second one's file is there already.
+second one's file is there already. On a file system without an atomic rename the test for that file and the rename leave a
+gap, so two writers need a lock outside. A reader that is older than two upserts may find its folders deleted.
 """
 
 from __future__ import annotations
