@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vetline.catalog.registry import Data, query
 from vetline.operators.dedup import latest_per_key
 from vetline.plans import sanctions
-from vetline.session import scratch_path
+from vetline.session import materialize, scratch_path
 from vetline.sources import jsonl, listing, payloads, sinks, xml
 from vetline.sources.store import KeyedStore
 from vetline.sources.tables import Tables
@@ -167,11 +167,14 @@ def sink_parquet_daily(t: Data) -> DataFrame:
 def register_raw_payload(t: Data) -> DataFrame:
     """A file per document, registered twice: the second time adds nothing."""
     path = scratch_path(t.spark, "raw")
-    t["documents"].select("doc_id", F.coalesce("text", F.lit("")).alias("value")).write.partitionBy("doc_id").text(path)
+    landed = F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("payload")
+    payloads.write_payload_files(t["documents"].select(F.format_string("doc_id=%d.txt", "doc_id").alias("object_key"), landed), path)
     raw = payloads.raw_payloads(t.spark, path, "documents", "https://example.org/list", "2024-01-01 06:00:00")
+    # stored, so that every file is opened once
+    raw = materialize(raw, "raw_payloads")
     first = payloads.register_payloads(raw.limit(0), raw)
     again = payloads.register_payloads(first, raw)
-    key = F.regexp_extract("object_key", r"(doc_id=[^/]*)/", 1).alias("object_key")
+    key = F.regexp_extract("object_key", r"(doc_id=[^/.]*)\.txt$", 1).alias("object_key")
     when = F.date_format("load_dt", "yyyy-MM-dd HH:mm:ss").alias("load_dt")
     # the time of the file is another on every run
     metadata = F.regexp_replace("metadata", r'"downloaded_at_utc":"[0-9T:-]{19}",', "").alias("metadata")

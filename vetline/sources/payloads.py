@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,28 @@ def raw_payloads(spark: SparkSession, path: str, source: str, source_url: str |
     return hashed.withColumns({"load_dt": loaded, "metadata": payload_metadata(source_url)})
 
 
+def write_payload_files(payloads: DataFrame, path: str) -> None:
+    """One file per row of ``(object_key, payload)`` in one folder; keys are file names and must differ.
+
+    Each task writes its files at their final places: a partitioned write of Spark has a committer move every folder
+    and, on a local disk without Hadoop's native library, starts several processes for the rights of each file.
+    A task that runs again writes the same files. The path may be any that pyarrow opens by its URI.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(path)
+        for batch in batches:
+            for key, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with store.open_output_stream(f"{root}/{key}", compression=None) as out:
+                    out.write(payload)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["files"])
+
+    store, root = fs.FileSystem.from_uri(path)
+    store.create_dir(root, recursive=True)
+    rows = payloads.select("object_key", F.coalesce(F.col("payload"), F.lit("")).cast("binary"))
+    rows.mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+
+
 def payload_metadata(source_url: str | None = None) -> Column:
     """The JSON kept with a payload: where it is from, when it was stored, its hash and size."""
     known = F.struct(
