@@ -8,25 +8,31 @@ matches any word ending. Profiles are rows, any number of them:
 2. A text is cut alike. At every place it gives the stretches of the lengths that postings have, so that a phrase
    meets its posting in an equality join with all its words in place. Only how postings are shaped (a few
    lengths, one row) goes to the driver.
-3. The groups that a text meets are gathered per distinct text. A profile is looked up by its rarest group and
-   kept where all its groups are met. Texts without a hit shuffle nothing but the hits of others do.
+3. Distinct texts that meet a posting are numbered. Postings, groups and profiles hold bitmaps of the numbers: a
+   group is the union of its terms, a profile the intersection of its groups, so work between the postings and the
+   result does not grow with texts times groups. Texts without a hit shuffle nothing.
 
 An empty term or a lone ``*`` matches nothing; neither does a profile without groups or with a group without terms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetline.operators.batches import assign_batches
+from vetline.operators.coverage import id_bitmaps, merge_bitmaps
 from vetline.session import materialize
 
 PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]"
 WORD = r"^[\p{L}\p{N}]"
 SLOTS = 1 << 12  # of first pieces; a constant of the plan
+BITMAP = 1 << 15  # bits in one of Spark's bitmaps
 PROFILE_SCHEMA = "profile_id string, groups array<array<string>>, expected_risk_category string, enabled boolean"
 
 
@@ -173,6 +179,28 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[in
     return F.array_distinct(F.concat(*[of_shape(pieces, opened) for pieces, opened in shapes]))
 
 
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(profile_id, category, number)`` from ``(profile_id, category, bucket, ids)``, some 64 K rows at a time."""
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        times = [len(numbers) for _, _, numbers in held]
+        names = [pa.array([row[i] for row in held], pa.string()).take(pa.array(np.repeat(np.arange(len(held)), times))) for i in range(2)]
+        return pa.RecordBatch.from_arrays([*names, pa.array(np.concatenate([numbers for _, _, numbers in held]))], ["search_profile", "_category", "_number"])
+
+    held, rows = [], 0
+    for batch in batches:
+        for profile, category, bucket, ids in zip(*(batch.column(i) for i in range(4)), strict=True):
+            bits = np.unpackbits(np.frombuffer(ids.as_buffer(), np.uint8), bitorder="little")
+            numbers = np.flatnonzero(bits).astype(np.int64) + ((bucket.as_py() - 1) * BITMAP + 1)
+            held.append((profile.as_py(), category.as_py(), numbers))
+            rows += len(numbers)
+            if rows >= 1 << 16:
+                yield packed(held)
+                held, rows = [], 0
+    if held:
+        yield packed(held)
+
+
 def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profile] = DEFAULT_PROFILES) -> DataFrame:
     """Each row once per profile it matches, with the profile id and the expected category.
 
@@ -195,14 +223,15 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
     cut = cut.withColumn("_distinct", F.array_distinct("_parts"))
     said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]), shape["slots"])).alias("posting"))
     # texts are told apart by a 128-bit hash: copies of a text are looked at once from here on
-    met = materialize(said.join(posted, "posting").select("_text_key", "group_key").distinct(), "groups_met")
-    # a profile waits under its rarest group, the only one by which texts look it up
-    seen = met.groupBy("group_key").agg(F.count("*").alias("texts"))
-    ranked = wanted.select("*", F.explode("groups").alias("group_key")).join(seen, "group_key", "left")
-    rarest = ranked.groupBy("profile_id", "category").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "group_key")).alias("rare"), F.first("groups").alias("groups"))
-    rarest = rarest.filter("rare.texts > 0").select("profile_id", "category", "groups", F.col("rare.group_key").alias("group_key"))
-    own = met.groupBy("_text_key").agg(F.collect_set("group_key").alias("own"))
-    lead = met.join(rarest, "group_key").join(own, "_text_key")
-    hits = lead.filter(F.size(F.array_except("groups", "own")) == 0).select("_text_key", F.col("profile_id").alias("search_profile"), F.col("category").alias("_category"))
-    out = marked.drop("search_profile", "expected_risk_category").join(hits, "_text_key")
-    return out.withColumnRenamed("_category", "expected_risk_category").drop("_text_key")
+    met = materialize(said.join(posted.select("posting").distinct(), "posting", "left_semi").distinct(), "postings_met")
+    numbered = assign_batches(met.select("_text_key").distinct(), 1, [F.col("_text_key")], name="_text_no").select("_text_key", (F.col("_text_no").cast("long") + 1).alias("_number"))
+    # a posting, a group and a profile are each met by a set of text numbers, in bitmaps: a group unites its terms', a
+    # profile intersects its groups'. Rows per text and group would be as many as texts times groups
+    by_posting = id_bitmaps(met.join(numbered, "_text_key"), "_number", ["posting"])
+    by_group = merge_bitmaps(posted.select("group_key", "posting").distinct().join(by_posting, "posting"), ["group_key"])
+    asked = wanted.select("profile_id", "category", F.size("groups").alias("needed"), F.explode("groups").alias("group_key"))
+    shared = asked.join(by_group, "group_key").groupBy("profile_id", "category", "needed", "bucket").agg(F.count("*").alias("met"), F.bitmap_and_agg("ids").alias("ids"))
+    whole = shared.filter((F.col("met") == F.col("needed")) & (F.bitmap_count("ids") > 0)).select("profile_id", "category", "bucket", "ids")
+    hits = whole.mapInArrow(_numbers, "search_profile string, _category string, _number long")
+    out = marked.drop("search_profile", "expected_risk_category").join(numbered, "_text_key").join(hits, "_number")
+    return out.withColumnRenamed("_category", "expected_risk_category").drop("_text_key", "_number")
