@@ -33,10 +33,11 @@ def _signal(name: str) -> Column:
 def join_text(vacancies: DataFrame, text: DataFrame) -> DataFrame:
     """Text of the same vacancy and the same load date; a text of another day does not count.
 
-    Its length is taken before the join, so that where the text itself is not asked for it stays behind.
+    Its length is taken before the join, so that where the text itself is not asked for it stays behind. Each task
+    holds its vacancies in a hash table and lets the texts run past: sorting would write every text once more.
     """
     described = text.select("vacancy_id", "load_dt", "description_text", F.length("description_text").alias("text_length"))
-    return vacancies.join(described, ["vacancy_id", "load_dt"], "left")
+    return vacancies.hint("shuffle_hash").join(described, ["vacancy_id", "load_dt"], "left")
 
 
 def join_employer(vacancies: DataFrame, employers: DataFrame) -> DataFrame:
@@ -51,12 +52,14 @@ def risk_signals(
 
     ``sanctioned`` may name employer ids found by screening; without it that signal is 0.
     """
-    joined = join_employer(join_text(vacancies, text), employers)
+    named = join_employer(vacancies, employers)
     hit = F.lit(0)
     if sanctioned is not None:
         hits = sanctioned.select("employer_id").distinct().withColumn("_hit", F.lit(1))
-        joined = joined.join(hits, "employer_id", "left")
+        named = named.join(hits, "employer_id", "left")
         hit = F.coalesce(F.col("_hit"), F.lit(0))
+    # last, so that the texts are shuffled once, by their vacancy, and not again by employer
+    joined = join_text(named, text)
     name, length = F.col("employer_name"), F.col("text_length")
     base = joined.select(
         "vacancy_id",
