@@ -130,7 +130,7 @@ def candidate_rows(left: DataFrame, right: DataFrame, threshold: float, broadcas
 
 def scored_pairs(candidates: DataFrame, probes: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
     """Distinct ``(left_value, right_value, score)`` above the threshold, scored from the texts."""
-    # stored: otherwise the optimizer cuts every probe into trigrams and joins afterwards
+    # stored, so that no rule of the optimizer cuts other probes into trigrams
     with_candidate = materialize(probes.join(candidates.select("left_hash").distinct(), "left_hash", "left_semi"), "with_candidate")
     common = F.size(F.array_intersect("left_grams", "right_grams"))
     score = F.col("common") / (F.size("left_grams") + F.size("right_grams") - F.col("common"))
