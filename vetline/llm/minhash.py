@@ -35,6 +35,7 @@ BATCH = 48
 MISS = 1e-6
 TILE_ROWS = 2048
 TILE_BYTES = 8 << 20
+FILTER_BITS = 1 << 26
 
 
 def bands(threshold: float, hashes: int = HASHES, miss: float = MISS) -> tuple[int, int]:
@@ -137,6 +138,24 @@ def _confirm(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Ite
             yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _near_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All rows of `texts` whose node is one of `wanted`, and few others: those with an equal place in a bitmap.
+
+    The bitmap has FILTER_BITS bits however many nodes there are, and is broadcast, so that the join that has to
+    follow shuffles few of the texts that nobody asks for.
+    """
+    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    bits = (
+        wanted.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("position"))
+        .repartition("part")  # tasks send places, not a bitmap each
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("position").alias("bits"))
+    )
+    placed = texts.withColumns({"own_part": F.bitmap_bucket_number(place), "own_bit": F.bitmap_bit_position(place)})
+    is_set = F.expr("shiftright(cast(conv(hex(substring(bits, cast(own_bit DIV 8 AS int) + 1, 1)), 16, 10) AS int), cast(own_bit % 8 AS int)) % 2 = 1")
+    return placed.join(F.broadcast(bits), (F.col("own_part") == F.col("part")) & is_set, "left_semi").select(*texts.columns)
+
+
 def _links(pairs: DataFrame, codes: DataFrame, texts: DataFrame, words: int, percent: int, stops: list) -> DataFrame:
     """The candidate pairs (a, b) that hold on the full sets."""
     sides = [(F.col("node").alias(x), F.col("mark").alias(f"mark_{x}")) for x in ("a", "b")]
@@ -145,7 +164,8 @@ def _links(pairs: DataFrame, codes: DataFrame, texts: DataFrame, words: int, per
         pairs.join(left, "a").join(right, "b").select("a", "b", "mark_a", "mark_b", "code_a", "code_b").mapInArrow(lambda it: _prune(it, stops), "a long, b long, mark_a long, mark_b long"),
         "alive",
     )
-    left, right = (texts.select(*side, F.col("body").alias(f"body_{x}")) for side, x in zip(sides, "ab", strict=True))
+    asked = (_near_wanted(texts, alive.select(F.col(x).alias("node"))) for x in ("a", "b"))
+    left, right = (own.select(*side, F.col("body").alias(f"body_{x}")) for own, side, x in zip(asked, sides, "ab", strict=True))
     full = alive.join(left, ["a", "mark_a"]).join(right, ["b", "mark_b"]).select("a", "b", "body_a", "body_b")
     return materialize(full.mapInArrow(lambda it: _confirm(it, words, percent), "a long, b long").distinct(), "links")
 
@@ -242,7 +262,8 @@ def _links_between(members: DataFrame, labels: DataFrame, codes: DataFrame, text
     tied = _tiled(open_.select("band", "node", "label", "code", "tiles"), "band", "tiles").select("band", "one", "other", "node", "label", "code")
     edges = materialize(tied.mapInArrow(lambda it: _cluster(it, stops), "a long, b long").distinct(), "tied")
     clusters = materialize(components(edges).withColumnRenamed("label", "cluster"), "clusters")
-    rows = clusters.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(texts.join(codes.select("node", "mark"), ["node", "mark"]), "node")
+    named = clusters.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(codes.select("node", "mark"), "node")
+    rows = named.join(_near_wanted(texts, clusters), ["node", "mark"])
     rows = rows.dropDuplicates(["node", "mark"])  # rows may repeat id and text
     tiles = rows.groupBy("cluster").agg(F.ceil(F.sum(F.length("body") + 1) / TILE_BYTES).alias("tiles"))
     met = _tiled(rows.join(tiles, "cluster").select("cluster", "node", "label", "body", "tiles"), "cluster", "tiles").select("cluster", "one", "other", "node", "label", "body")
@@ -273,7 +294,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, text: st
         .select("digest", F.col("head.doc_id").alias("node"), F.col("head.mark").alias("mark"), "code", "bands"),
         "classes",
     )
-    banded = classes.filter("node is not null").select("node", F.explode("bands").alias("band"))
+    # dealt by band once, for the buckets and for their members
+    banded = classes.filter("node is not null").select("node", F.explode("bands").alias("band")).repartition("band")
     buckets = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
     members = materialize(banded.join(buckets.select("band", "first"), "band"), "buckets")
     codes = classes.filter("node is not null").select("node", "mark", "code")
