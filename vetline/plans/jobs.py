@@ -116,7 +116,7 @@ def load_day(
 def _landed_files(spark: SparkSession, folder: str) -> DataFrame | None:
     """The JSON-lines files of a folder as one row each, None where the folder is missing."""
     try:
-        return file_listing(spark, folder).filter(F.col("key").rlike(r"\.jsonl?$"))
+        return file_listing(spark, folder).filter(F.col("key").rlike(r"\.jsonl?(\.gz)?$"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -14,9 +14,13 @@ def _partitioned(df: DataFrame, partition_by: Sequence[str]):
     )
 
 
-def write_jsonl_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("load_type", "dt")) -> None:
-    """JSON lines under ``load_type=/dt=[/batch=]``; a rerun replaces the partitions it writes."""
-    _partitioned(df, partition_by).option("ignoreNullFields", False).json(path)
+def write_jsonl_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("load_type", "dt"), compression: str = "gzip") -> None:
+    """JSON lines under ``load_type=/dt=[/batch=]``; a rerun replaces the partitions it writes, compressed or plain.
+
+    Each record repeats the names of its fields, so the files are compressed; readers tell by the ending (``none``
+    writes plain text). Such a file is read by one task: a partition has as many as tasks that wrote it.
+    """
+    _partitioned(df, partition_by).options(ignoreNullFields=False, compression=compression).json(path)
 
 
 def write_parquet_daily(df: DataFrame, path: str, date_column: str = "dt") -> None:
