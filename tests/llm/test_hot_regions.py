@@ -1,6 +1,8 @@
 """Passages and periods that make a large part of all regions reach no single task."""
 
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -50,3 +52,21 @@ def test_hot_passage_and_period(spark, monkeypatch, more):
     found = {r[0]: tuple(r[1:]) for r in suffixes.remove_repeats(docs, 60, **more).collect()}
     assert found == dict(enumerate(plain.repeats(texts, 60)))
     assert places["n"] >= 1200 and places["parts"] > 1
+
+
+def test_sort_holds_few_slices(monkeypatch):
+    """A group of many classes is sorted without a copy of 400 bytes for each of its suffixes."""
+    random.seed(7)
+    own = lambda n: " ".join(_word() for _ in range(n))
+    passage = own(75)
+    texts = [f"{own(3)} {passage} {own(3)}".encode() for _ in range(400)] + [b"ab " * 300, b"ab\0" * 300, b"\0" * 900]
+    tracemalloc.start()
+    found = suffixes.repeated_windows(texts, 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 * sum(map(len, texts))
+    counts = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
+    want = [[i for i in range(len(t) - 399) if counts[t[i : i + 400]] > 1] for t in texts]
+    assert [f.tolist() for f in found] == want
+    monkeypatch.setattr(suffixes, "_SLICES", 3)
+    assert [f.tolist() for f in suffixes.repeated_windows(texts, 400)] == want
