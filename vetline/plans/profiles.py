@@ -8,9 +8,12 @@ matches any word ending. Profiles are rows, any number of them:
 2. A text is cut alike. At every place it gives the stretches of the lengths that postings have, so that a phrase
    meets its posting in an equality join with all its words in place. Only how postings are shaped (a few
    lengths, one row) goes to the driver.
-3. Distinct texts that meet a posting are numbered. Postings, groups and profiles hold bitmaps of the numbers: a
-   group is the union of its terms, a profile the intersection of its groups, so work between the postings and the
-   result does not grow with texts times groups. Texts without a hit shuffle nothing.
+3. Up to FEW profiles: distinct texts that meet a posting are numbered. Postings, groups and profiles hold bitmaps of
+   the numbers: a group is the union of its terms, a profile the intersection of its groups.
+4. More profiles: texts and profiles are dealt into buckets and slices of a bounded size, and each pair of a bucket and a
+   slice is one task. It makes bitmaps of the bucket's rows for the slice's postings, unites and intersects them in
+   memory, and gives the result's rows. Only what texts and profiles hold is shuffled, never what grows with texts times
+   profiles. Texts without a hit shuffle nothing in either way.
 
 An empty term or a lone ``*`` matches nothing; neither does a profile without groups or with a group without terms.
 """
@@ -24,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from vetline.operators.batches import assign_batches
 from vetline.operators.coverage import id_bitmaps, merge_bitmaps
@@ -33,6 +37,11 @@ PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]"
 WORD = r"^[\p{L}\p{N}]"
 SLOTS = 1 << 12  # of first pieces; a constant of the plan
 BITMAP = 1 << 15  # bits in one of Spark's bitmaps
+FEW = 256  # profiles whose bitmaps are shuffled
+BUCKET_ROWS = 1 << 12  # rows of texts in a bucket, about
+SLICE_PROFILES = 1 << 14  # profiles in a slice, about
+CHUNK = 1 << 11  # profiles whose bitmaps are in memory at once
+PLACES = (15, 26)  # least and most bits, as a power of 2, of the bitmap that tells which stretches may be postings
 PROFILE_SCHEMA = "profile_id string, groups array<array<string>>, expected_risk_category string, enabled boolean"
 
 
@@ -201,6 +210,176 @@ def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed(held)
 
 
+def _list(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """Lists of the values that stop before `ends`."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(values))
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All values of the lists, and how many each has."""
+    return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _turned(said: pa.Array, more: pa.Array) -> pa.Array:
+    """Per bucket, from the postings of each row: its distinct postings by key and the rows that meet each."""
+    parts = []
+    for one, two in zip(said, more, strict=True):
+        key, times = _flat(one.values)
+        check, _ = _flat(two.values)
+        row = np.repeat(np.arange(len(times), dtype=np.int32), times)
+        order = np.lexsort((row, check, key))
+        key, check, row = key[order], check[order], row[order]
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1]))[: len(key)]))
+        parts.append((key[first], check[first], np.diff(np.append(first, len(key))).astype(np.int32), row, len(times)))
+    columns = []
+    for i, kind in enumerate((np.int64, np.int64, np.int32, np.int32)):
+        values = [part[i] for part in parts]
+        columns.append(_list(np.concatenate([*values, np.empty(0, kind)]).astype(kind), np.cumsum([len(v) for v in values])))
+    columns.append(pa.array([part[4] for part in parts], pa.int32()))
+    return pa.StructArray.from_arrays(columns, ["key", "check", "times", "row", "rows"])
+
+
+def _of_tile(key, check, times, row, rows: int, asked_key, asked_check, terms, groups) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a bucket that meet each profile of a slice: all rows, and how many each profile has.
+
+    key, check, times, row: the bucket's postings as `_turned` gives them. asked_key, asked_check: the postings of all
+    groups of all profiles; terms: how many each group has; groups: how many each profile has.
+    """
+    width = -(-rows // 64) * 8
+    place = np.searchsorted(key, asked_key)
+    met = np.zeros(len(asked_key), bool)
+    left = np.arange(len(asked_key))
+    while len(left):
+        left = left[place[left] < len(key)]
+        left = left[key[place[left]] == asked_key[left]]
+        same = check[place[left]] == asked_check[left]
+        met[left[same]] = True
+        # equal keys with other checks lie side by side
+        left = left[~same]
+        place[left] += 1
+    used, line = np.unique(place[met], return_inverse=True)
+    # a bitmap per posting that the slice asks for; the last one is of those that no row meets
+    lines = np.full(len(asked_key), len(used))
+    lines[met] = line
+    bits = np.zeros((len(used) + 1, width), np.uint8)
+    starts = np.cumsum(times, dtype=np.int64) - times
+    size = times[used].astype(np.int64)
+    at = row[np.repeat(starts[used] - (np.cumsum(size) - size), size) + np.arange(size.sum())].astype(np.int64)
+    # each row once per posting, so that sums are unions
+    np.add.at(bits.reshape(-1), np.repeat(np.arange(len(used)) * width, size) + (at >> 3), np.left_shift(1, at & 7).astype(np.uint8))
+    words = bits.view(np.uint64)
+    first_group = np.cumsum(groups) - groups
+    first_term = np.cumsum(terms) - terms
+    found, counts = [], np.zeros(len(groups), np.int64)
+    for low in range(0, len(groups), CHUNK):
+        high = min(low + CHUNK, len(groups))
+        of_group = slice(first_group[low], first_group[high - 1] + groups[high - 1])
+        begin, end = first_term[of_group.start], first_term[of_group.stop - 1] + terms[of_group.stop - 1]
+        united = np.bitwise_or.reduceat(words[lines[begin:end]], first_term[of_group] - begin, axis=0)
+        whole = np.bitwise_and.reduceat(united, first_group[low:high] - first_group[low], axis=0).view(np.uint8).reshape(-1)
+        filled = np.flatnonzero(whole)
+        place, bit = np.nonzero(np.unpackbits(whole[filled], bitorder="little").reshape(-1, 8))
+        byte = filled[place]
+        found.append((byte % width * 8 + bit).astype(np.int32))
+        counts[low:high] = np.bincount(byte // width, minlength=high - low)
+    return np.concatenate(found), counts
+
+
+def _tile(posts: pa.Array, asked_key: pa.Array, asked_check: pa.Array, terms: pa.Array) -> pa.Array:
+    """Per pair of a bucket and a slice: for each profile of the slice the rows of the bucket that meet it."""
+    found, counts, profiles = [], [], []
+    for post, keys, checks, sizes in zip(posts, asked_key, asked_check, terms, strict=True):
+        held = [post[name].values.to_numpy(zero_copy_only=False) for name in ("key", "check", "times", "row")]
+        size, groups = _flat(sizes.values)
+        rows, each = _of_tile(*held, post["rows"].as_py(), _flat(keys.values)[0], _flat(checks.values)[0], size.astype(np.int64), groups)
+        found.append(rows)
+        counts.append(each)
+        profiles.append(len(each))
+    inner = _list(np.concatenate([*found, np.empty(0, np.int32)]), np.cumsum(np.concatenate([*counts, np.empty(0, np.int64)])))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(profiles))).astype(np.int32)), inner)
+
+
+def _key(posting: Column) -> Column:
+    return F.xxhash64(posting)
+
+
+def _check(posting: Column) -> Column:
+    """With the key 128 bits that stand for a posting."""
+    return F.xxhash64(F.lit(1), posting)
+
+
+def _may_be_posting(spark: SparkSession, posted: DataFrame, postings: int):
+    """Which stretches of a text, by their keys, may be postings: all that are, and few others.
+
+    The bitmap that tells has 2^26 bits (8 MB) at most, however many postings there are.
+    """
+    bits = min(max(int(postings * 32).bit_length(), PLACES[0]), PLACES[1])
+    number = F.pmod(_key(F.col("posting")), F.lit(1 << bits)) + 1
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    for part in id_bitmaps(posted.select(number.alias("number")), "number").collect():
+        at = (part["bucket"] - 1) * BITMAP // 8
+        table[at : at + BITMAP // 8] = np.frombuffer(part["ids"], np.uint8)
+    shared = spark.sparkContext.broadcast(table)
+
+    @F.arrow_udf("array<int>")
+    def may_be(said: pa.Array) -> pa.Array:
+        keys, times = _flat(said)
+        place = keys & ((1 << bits) - 1)
+        held = np.flatnonzero(shared.value[place >> 3] >> (place & 7) & 1)
+        ends = np.cumsum(times)
+        last = np.searchsorted(held, ends)
+        # places within their own text
+        return _list((held - np.repeat(ends - times, np.diff(np.append(0, last)))).astype(np.int32), last)
+
+    # not deterministic, or the filter on its result would run it once more
+    return may_be.asNondeterministic()
+
+
+def _by_tiles(df: DataFrame, cut: DataFrame, stretches: Column, posted: DataFrame, wanted: DataFrame, postings: int, profiles: int) -> DataFrame:
+    """`cut`: the rows of `df` with their texts in pieces."""
+    held = {f"_c{i}": F.col(f"`{f.name}`") for i, f in enumerate(df.schema)}
+    may_be = _may_be_posting(df.sparkSession, posted, postings)
+    buckets = max(1, -(-df.count() // BUCKET_ROWS))
+    slices = max(1, -(-profiles // SLICE_PROFILES))
+    # all plain columns decide, so that copies of a text are dealt out; rows equal in all of them stay together
+    plain = [f"`{f.name}`" for f in df.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    said = cut.select(
+        # a struct keeps nulls in a list
+        *[F.struct(column.alias("value")).alias(name) for name, column in held.items()],
+        F.pmod(F.xxhash64(*plain), F.lit(buckets)).cast("int").alias("_bucket"),
+        # exploded, because the optimizer would write the pieces into a projection and cut the text at every place anew
+        F.explode(F.array(stretches)).alias("_stretches"),
+    )
+    kept = said.withColumn("_keys", F.transform("_stretches", _key)).withColumn("_kept", may_be("_keys")).filter(F.size("_kept") > 0)
+    key = F.transform("_kept", lambda at: F.get("_keys", at)).alias("_key")
+    check = F.transform("_kept", lambda at: _check(F.get("_stretches", at))).alias("_check")
+    # lists of one aggregate are in the same order
+    lists = [F.collect_list(name).alias(name) for name in (*held, "_key", "_check")]
+    bucket = kept.select(*held, "_bucket", key, check).repartition(buckets, "_bucket").groupBy("_bucket").agg(*lists)
+    turned = F.arrow_udf(_turned, "key array<bigint>, check array<bigint>, times array<int>, row array<int>, rows int")
+    # dealt out by number, so that a task of the product below has one bucket and one slice
+    bucket = bucket.select("_bucket", *held, turned("_key", "_check").alias("_posts")).repartitionById(buckets, F.col("_bucket"))
+
+    group = posted.select("group_key", "posting").distinct().groupBy("group_key").agg(F.collect_list(_key(F.col("posting"))).alias("key"), F.collect_list(_check(F.col("posting"))).alias("check"))
+    asked = wanted.select("profile_id", "category", F.size("groups").alias("needed"), F.explode("groups").alias("group_key")).join(group, "group_key")
+    profile = asked.groupBy("profile_id", "category", "needed").agg(F.collect_list(F.struct("key", "check")).alias("held")).filter(F.size("held") == F.col("needed"))
+    flat = profile.select(
+        F.pmod(F.xxhash64("profile_id", "category"), F.lit(slices)).cast("int").alias("_slice"),
+        F.struct("profile_id", "category").alias("_profile"),
+        F.flatten("held.key").alias("_asked_key"),
+        F.flatten("held.check").alias("_asked_check"),
+        F.transform("held", lambda terms: F.size(terms["key"])).alias("_terms"),
+    )
+    slice_ = flat.groupBy("_slice").agg(*[F.collect_list(name).alias(name) for name in flat.columns[1:]]).repartitionById(slices, F.col("_slice"))
+
+    # not deterministic, or a filter that the optimizer finds for the explode would run it twice
+    tile = F.arrow_udf(_tile, "array<array<int>>").asNondeterministic()
+    met = bucket.hint("shuffle_replicate_nl").crossJoin(slice_).withColumn("_met", tile("_posts", "_asked_key", "_asked_check", "_terms"))
+    each = met.select(*held, "_profile", F.posexplode("_met").alias("_at", "_rows")).select(*held, F.get("_profile", "_at").alias("_profile"), F.explode("_rows").alias("_row"))
+    out = [F.get(name, F.col("_row"))["value"].alias(column) for name, column in zip(held, df.columns, strict=True)]
+    return each.select(*out, F.col("_profile.profile_id").alias("search_profile"), F.col("_profile.category").alias("expected_risk_category"))
+
+
 def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profile] = DEFAULT_PROFILES) -> DataFrame:
     """Each row once per profile it matches, with the profile id and the expected category.
 
@@ -208,10 +387,14 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
     """
     if not isinstance(profiles, DataFrame):
         profiles = profile_rows(df.sparkSession, profiles)
+    profiles = materialize(profiles.select("profile_id", "groups", F.col("expected_risk_category").cast("string").alias("expected_risk_category"), "enabled"), "profiles")
     posted, wanted = postings(profiles)
     posted = materialize(posted, "postings")
     shape = posted.agg(
-        F.sort_array(F.collect_set(F.struct("pieces", F.coalesce("open", F.lit(-1)).alias("open")))).alias("shapes"), F.max("sign").alias("signs"), F.collect_set("slot").alias("slots")
+        F.sort_array(F.collect_set(F.struct("pieces", F.coalesce("open", F.lit(-1)).alias("open")))).alias("shapes"),
+        F.max("sign").alias("signs"),
+        F.collect_set("slot").alias("slots"),
+        F.count("*").alias("postings"),
     ).first()
     # one row: the few distinct lengths that terms have, and SLOTS numbers at most
     shapes = [(s["pieces"], None if s["open"] < 0 else s["open"]) for s in shape["shapes"]]
@@ -219,9 +402,15 @@ def tag_profiles(df: DataFrame, text: str, profiles: DataFrame | Iterable[Profil
     if not shapes:
         return marked.filter("false").withColumns({"search_profile": F.lit(None).cast("string"), "expected_risk_category": F.lit(None).cast("string")}).drop("_text_key")
 
-    cut = marked.filter(F.col(text).isNotNull()).select("_text_key", _pieces(F.col(text)).alias("_parts"))
-    cut = cut.withColumn("_distinct", F.array_distinct("_parts"))
-    said = cut.select("_text_key", F.explode(_stretches(shapes, bool(shape["signs"]), shape["slots"])).alias("posting"))
+    def cut(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_parts", _pieces(F.col(text))).withColumn("_distinct", F.array_distinct("_parts"))
+
+    stretches = _stretches(shapes, bool(shape["signs"]), shape["slots"])
+    many = enabled_profiles(profiles).count()
+    if many > FEW:
+        given = df.drop("search_profile", "expected_risk_category")
+        return _by_tiles(given, cut(given.filter(F.col(text).isNotNull())), stretches, posted, wanted, shape["postings"], many)
+    said = cut(marked.filter(F.col(text).isNotNull()).select("_text_key", text)).select("_text_key", F.explode(stretches).alias("posting"))
     # texts are told apart by a 128-bit hash: copies of a text are looked at once from here on
     met = materialize(said.join(posted.select("posting").distinct(), "posting", "left_semi").distinct(), "postings_met")
     numbered = assign_batches(met.select("_text_key").distinct(), 1, [F.col("_text_key")], name="_text_no").select("_text_key", (F.col("_text_no").cast("long") + 1).alias("_number"))
