@@ -45,7 +45,7 @@ FROM ({RISK})
 def _signals(t: Data) -> DataFrame:
     return risk.risk_signals(
         vac.flatten_vacancies(t["vacancy_bronze"]),
-        vac.silver_text(t["text_bronze"]),
+        vac.silver_text(t.referred_text()),
         vac.employers_batch(t["list_bronze"]),
     )
 

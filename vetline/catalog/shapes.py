@@ -81,6 +81,22 @@ SHAPES: dict[str, str | dict[str, str]] = {
         FROM {orders} o
         JOIN {documents} d ON d.doc_id = o.o_custkey
     """,
+    # the same in two parts: rows, and the texts that they refer to
+    "text_rows": """
+        SELECT o.o_orderkey AS id, o.o_custkey AS text_id,
+               CASE WHEN o.o_orderstatus = 'P' THEN cast(cast(o.o_orderdate AS date) + INTERVAL 1 DAY AS date)
+                    ELSE cast(o.o_orderdate AS date) END AS load_dt,
+               o.o_orderdate AS inserted_at
+        FROM {orders} o
+    """,
+    "text_bodies": """
+        SELECT d.doc_id AS text_id,
+               '<div><p>' || replace(d.text, chr(10), '</p>&nbsp;<p>') || '</p><!-- ' || d.source || ' --></div>'
+                 AS description,
+               CASE d.lang WHEN 'fr' THEN '' WHEN 'de' THEN '<b>' || d.source || '</b>' ELSE NULL END
+                 AS branded_description
+        FROM {documents} d
+    """,
     "details_bronze": f"""
         SELECT o.o_orderkey AS id, 'Vacancy ' || cast(o.o_orderkey AS string) AS name,
                (o.o_orderstatus = 'F') AS archived, {EMPLOYER} AS employer,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vetline.operators.referred import Referred, join_referred
+
 # Fixed values of the signal contract.
 RISK_CATEGORIES = ("crypto", "gambling", "payments", "grey_schemes", "scam")
 MIN_TEXT_LENGTH = 300
@@ -30,12 +32,16 @@ def _signal(name: str) -> Column:
     return F.col(f"risk_signal_{name}")
 
 
-def join_text(vacancies: DataFrame, text: DataFrame) -> DataFrame:
+def join_text(vacancies: DataFrame, text: DataFrame | Referred) -> DataFrame:
     """Text of the same vacancy and the same load date; a text of another day does not count.
 
     Its length is taken before the join, so that where the text itself is not asked for it stays behind. Each task
     holds its vacancies in a hash table and lets the texts run past: sorting would write every text once more.
+    Vacancies go to texts that they refer to, so that a text of many vacancies is shuffled once.
     """
+    if isinstance(text, Referred):
+        bodies = text.bodies.select(text.ref, "description_text", F.length("description_text").alias("text_length"))
+        return join_referred(vacancies, Referred(text.rows.select("vacancy_id", "load_dt", text.ref), bodies, text.ref), ["vacancy_id", "load_dt"])
     described = text.select("vacancy_id", "load_dt", "description_text", F.length("description_text").alias("text_length"))
     return vacancies.hint("shuffle_hash").join(described, ["vacancy_id", "load_dt"], "left")
 
@@ -46,7 +52,7 @@ def join_employer(vacancies: DataFrame, employers: DataFrame) -> DataFrame:
 
 
 def risk_signals(
-    vacancies: DataFrame, text: DataFrame, employers: DataFrame, sanctioned: DataFrame | None = None
+    vacancies: DataFrame, text: DataFrame | Referred, employers: DataFrame, sanctioned: DataFrame | None = None
 ) -> DataFrame:
     """One row per vacancy with five signals, their counts, a level and an action.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vetline.functions import clean_html_spaced, display_text, json_fields, strip_tags, visible_text_lines
 from vetline.operators.dedup import latest_per_key
 from vetline.operators.merge import Rule, merge_rows
+from vetline.operators.referred import Referred
 from vetline.operators.shape import explode_json_array
 
 OPEN_END = "2999-01-01"
@@ -199,9 +200,15 @@ def stage_text(details: DataFrame) -> DataFrame:
     )
 
 
-def silver_text(bronze_details: DataFrame, visible_lines: bool = False) -> DataFrame:
-    """Text for the risk signals: tags stripped, or (the slower way) the visible text nodes."""
+def silver_text(bronze_details: DataFrame | Referred, visible_lines: bool = False) -> DataFrame | Referred:
+    """Text for the risk signals: tags stripped, or (the slower way) the visible text nodes.
+
+    Of referred texts each is cleaned once, however many rows refer to it.
+    """
     clean = visible_text_lines("description") if visible_lines else strip_tags("description")
+    if isinstance(bronze_details, Referred):
+        rows = bronze_details.rows.select(F.col("id").alias("vacancy_id"), "load_dt", bronze_details.ref)
+        return Referred(rows, bronze_details.bodies.select(bronze_details.ref, clean.alias("description_text")), bronze_details.ref)
     return bronze_details.select(F.col("id").alias("vacancy_id"), clean.alias("description_text"), "load_dt")
 
 
