@@ -23,7 +23,7 @@ def _exchanges_of(plan, names: set) -> int:
 
 
 @given
-@pytest.mark.parametrize("name", ["risk_signals"])
+@pytest.mark.parametrize("name", ["join_vacancy_text", "risk_signals"])
 def test_a_text_is_shuffled_once_however_many_vacancies_have_it(spark, name):
     held = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
     try:

@@ -211,7 +211,7 @@ def join_vacancy_text(t: Data) -> DataFrame:
     from vetline.plans.risk import join_text
 
     vacancies = t["list_bronze"].select(F.col("id").alias("vacancy_id"), "load_dt")
-    return join_text(vacancies, vac.silver_text(t["text_bronze"])).select("vacancy_id", "load_dt", "description_text")
+    return join_text(vacancies, vac.silver_text(t.referred_text())).select("vacancy_id", "load_dt", "description_text")
 
 
 @query(
