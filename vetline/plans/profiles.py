@@ -146,7 +146,8 @@ def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[int]) -> Column:
     """Distinct postings of a text in pieces (`_parts`; `_distinct` has each once).
 
-    slots: those that first pieces of terms have. Most places of a text have another one and stop there.
+    slots: those that first pieces of terms have. Most places of a text have another one and stop there, unless the
+    terms have most of them.
     """
     parts = F.col("_parts")
     taken = bytearray(SLOTS)
@@ -155,7 +156,7 @@ def _stretches(shapes: list[tuple[int, int | None]], signs: bool, slots: list[in
     table = F.lit(bytes(taken))
 
     def asked(lead: Column) -> Column:
-        return F.substring(table, _slot(lead) + 1, F.lit(1)) == F.lit(b"\x01")
+        return F.substring(table, _slot(lead) + 1, F.lit(1)) == F.lit(b"\x01") if len(slots) < SLOTS // 2 else F.lit(True)
 
     def word(at: Column) -> Column:
         return F.coalesce(F.get(parts, at).rlike(WORD), F.lit(False))
@@ -350,9 +351,11 @@ def _by_tiles(df: DataFrame, cut: DataFrame, stretches: Column, posted: DataFram
         # exploded, because the optimizer would write the pieces into a projection and cut the text at every place anew
         F.explode(F.array(stretches)).alias("_stretches"),
     )
-    kept = said.withColumn("_keys", F.transform("_stretches", _key)).withColumn("_kept", may_be("_keys")).filter(F.size("_kept") > 0)
+    # numbers only, because Spark holds the rows that wait for Python, beyond its memory on disk
+    keyed = said.select(*held, "_bucket", F.transform("_stretches", _key).alias("_keys"), F.transform("_stretches", _check).alias("_checks"))
+    kept = keyed.withColumn("_kept", may_be("_keys")).filter(F.size("_kept") > 0)
     key = F.transform("_kept", lambda at: F.get("_keys", at)).alias("_key")
-    check = F.transform("_kept", lambda at: _check(F.get("_stretches", at))).alias("_check")
+    check = F.transform("_kept", lambda at: F.get("_checks", at)).alias("_check")
     # lists of one aggregate are in the same order
     lists = [F.collect_list(name).alias(name) for name in (*held, "_key", "_check")]
     bucket = kept.select(*held, "_bucket", key, check).repartition(buckets, "_bucket").groupBy("_bucket").agg(*lists)
